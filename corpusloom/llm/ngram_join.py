@@ -11,8 +11,9 @@ least l tokens in their prefixes of n - ceil(percent * n / 100) + l tokens. So:
    candidates to verify. Pairs need the smaller k of both.
 4. A class goes to its home, the most frequent of these tokens, where all are compared in blocks by counting common tokens;
    a block tells only the links that join its components. Large homes are cut into blocks and pairs of blocks.
-5. Pairs that share other tokens, not their home and not yet their component, are made by an equi-join, must share k tokens,
-   and are verified alone.
+5. Classes of tokens whose classes are of several components and homes then go to the HOMES most frequent of these tokens.
+6. What is left are pairs that share tokens, but neither a home nor a component. Classes of a token with the same homes are
+   taken together to find which meet no more; their pairs must share k tokens, and are verified alone.
 
 No step caps a bucket or drops a pair; whole sets are compared by 64-bit hashes of their shingles.
 """
@@ -38,7 +39,9 @@ LENGTHEN = 32
 #: Most matches that a class may require of its candidates before they are verified.
 MATCHES = 3
 #: Members and tokens of a block.
-BLOCK_ROWS, BLOCK_TOKENS = 1024, 1_000_000
+BLOCK_ROWS, BLOCK_TOKENS = 1024, 500_000
+#: Homes of a class in the second round.
+HOMES = 4
 _CACHE = 300_000
 _U = np.uint64
 
@@ -113,7 +116,7 @@ def _sets(words: int):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in chunks(batches, "text"):
             tokens = [shingle_set(t, words).tobytes() for t in batch.column("text").to_pylist()]
-            yield pa.record_batch([batch.column("node"), batch.column("home"), pa.array(tokens, pa.binary())], names=["node", "home", "tokens"])
+            yield pa.record_batch([batch.column("node"), pa.array(tokens, pa.binary())], names=["node", "tokens"])
 
     return rows
 
@@ -217,13 +220,14 @@ def _identity(docs: DataFrame, id_col: str, text_col: str) -> list[Column]:
     return [F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(id_col, text_col).alias("text_hash"), F.col(text_col).alias("text")]
 
 
-def _kept_prefixes(classes: DataFrame, percent: int) -> DataFrame:
-    """node, n, k and tokens (array of structs df, token: the rarest of the prefix that others have too) of live classes."""
-    postings = classes.select("node", F.explode("prefix").alias("token"))
+def _kept_prefixes(prefixes: DataFrame, percent: int) -> DataFrame:
+    """node, n, k and tokens (array of structs df, token: the rarest of the prefix that others have too) of live classes.
+    prefixes has node, n and prefix."""
+    postings = prefixes.select("node", "n", F.size("prefix").alias("p"), F.explode("prefix").alias("token"))
     frequent = postings.groupBy("token").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
-    others = postings.join(frequent, "token").groupBy("node").agg(F.sort_array(F.collect_list(F.struct("df", "token"))).alias("found"))
+    others = postings.join(frequent, "token").groupBy("node").agg(F.first("n").alias("n"), F.first("p").alias("p"), F.sort_array(F.collect_list(F.struct("df", "token"))).alias("found"))
     least = _sql_shared(_sql_needed("n", percent), percent)
-    live = classes.select("node", "n", F.size("prefix").alias("p")).join(others, "node").withColumn("l", F.expr(least).cast("int")).where("size(found) >= l")
+    live = others.withColumn("l", F.expr(least).cast("int")).where("size(found) >= l")
     # candidates are scanned once for each posting, and verified at a cost of about n once for every k matches
     length = lambda k: f"greatest(0, p - l + {k} - (p - size(found)))"
     cost = lambda k: f"aggregate(slice(found, 1, int({length(k)})), 0D, (s, x) -> s + x.df - 1) * (1 + n / {k}D)"
@@ -233,6 +237,26 @@ def _kept_prefixes(classes: DataFrame, percent: int) -> DataFrame:
     return best.select("node", "n", "k", F.expr(f"slice(found, 1, int({length('k')}))").alias("tokens")).where("size(tokens) > 0")
 
 
+def _buckets(postings: DataFrame) -> DataFrame:
+    """token, size and blocks of the tokens that several classes have. postings has token and n."""
+    sizes = postings.groupBy("token").agg(F.count(F.lit(1)).alias("size"), F.sum("n").alias("weight")).where("size > 1")
+    return sizes.select("token", "size", F.greatest(F.ceil(F.col("size") / BLOCK_ROWS), F.ceil(F.col("weight") / BLOCK_TOKENS)).cast("int").alias("blocks"))
+
+
+def _several(state: DataFrame) -> DataFrame:
+    """The tokens whose classes are of more than one component and more than one home."""
+    ends = state.groupBy("token").agg(F.min("component").alias("c0"), F.max("component").alias("c1"), F.min("home").alias("h0"), F.max("home").alias("h1"))
+    return ends.where("c0 <> c1 AND h0 <> h1").select("token")
+
+
+def _compared(sets: DataFrame, homes: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) that join the components of each home's classes. homes has node, home and its number of blocks."""
+    placed = sets.join(homes, "node").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    tasks = placed.withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)"))).select("home", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "node", "tokens")
+    parts = int(sets.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return cut(tasks.repartition(parts, "home", "low", "high").sortWithinPartitions("home", "low", "high").mapInArrow(_block_links(percent), "a long, b long"), "links")
+
+
 def link_documents(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of docs: doc_id, n_shingles, component_id (smallest doc_id of its component), class_size (rows with an
     equal set).
@@ -243,39 +267,46 @@ def link_documents(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
     """
     spark = docs.sparkSession
     ship(spark)
-    rows = cut(
-        docs.select(*_identity(docs, id_col, text_col)).mapInArrow(_prefixes(words, percent), "doc_id long, text_hash long, n long, key binary, prefix array<long>"),
-        "prefixes",
-    )
-    grouped = rows.where("n > 0").groupBy("key").agg(F.first("n").alias("n"), F.first("prefix").alias("prefix"), F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("class_size"), F.min(F.struct("doc_id", "text_hash")).alias("one"))
-    classes = cut(grouped.withColumn("node", F.monotonically_increasing_id()), "classes")
-    kept = cut(_kept_prefixes(classes, percent), "kept")
+    made = docs.select(*_identity(docs, id_col, text_col)).mapInArrow(_prefixes(words, percent), "doc_id long, text_hash long, n long, key binary, prefix array<long>")
+    rows = cut(made.withColumn("row", F.monotonically_increasing_id()), "prefixes")
+    grouped = rows.where("n > 0").groupBy("key").agg(F.first("n").alias("n"), F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("class_size"), F.min(F.struct("row", "doc_id", "text_hash")).alias("one"))
+    classes = cut(grouped.select("key", "n", "least", "class_size", F.col("one.row").alias("node"), F.col("one.doc_id").alias("_id"), F.col("one.text_hash").alias("_hash")), "classes")
+    copied = cut(classes.where("class_size > 1").select("key", "node"), "copied")
+    copies = cut(rows.select("key", "row").join(small(copied), "key").where("row <> node").select("row"), "copies")
+    prefixes = rows.where("n > 0").select(F.col("row").alias("node"), "n", "prefix").join(small(copies), F.col("node") == F.col("row"), "left_anti")
+    kept = cut(_kept_prefixes(prefixes, percent), "kept")
     postings = kept.select("node", "n", "k", F.explode("tokens").alias("t")).select("node", "n", "k", "t.token")
-    buckets = cut(postings.groupBy("token").agg(F.count(F.lit(1)).alias("size"), F.sum("n").alias("weight")).where("size > 1"), "buckets")
-    blocks = F.greatest(F.ceil(F.col("size") / BLOCK_ROWS), F.ceil(F.col("weight") / BLOCK_TOKENS)).cast("int")
-    active = cut(postings.join(buckets, "token").withColumn("blocks", blocks), "postings")
-    homes = cut(active.groupBy("node").agg(F.max(F.struct("size", "token", "blocks", "n")).alias("h")).select("node", "h.n", F.col("h.token").alias("home"), "h.blocks"), "homes")
+    active = cut(postings.join(_buckets(postings), "token"), "postings")
+    homes = cut(active.groupBy("node").agg(F.max(F.struct("size", "token", "blocks")).alias("h")).select("node", F.col("h.token").alias("home"), "h.blocks"), "homes")
     # the sets of the classes that may have partners, from one document of each
-    chosen = classes.join(homes, "node", "left_semi").select("node", F.col("one.doc_id").alias("_id"), F.col("one.text_hash").alias("_hash")).join(homes.select("node", "home"), "node")
-    texts = docs.select(*_identity(docs, id_col, text_col)).join(small(cut(chosen, "chosen")), F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_hash") == F.col("_hash")))
-    sets = cut(texts.select("node", "home", "text").mapInArrow(_sets(words), "node long, home long, tokens binary").dropDuplicates(["node"]), "sets")
-    placed = sets.join(homes.select("node", "blocks"), "node").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    tasks = placed.withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)"))).select("home", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "node", "tokens")
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    links = cut(tasks.repartition(parts, "home", "low", "high").sortWithinPartitions("home", "low", "high").mapInArrow(_block_links(percent), "a long, b long"), "links")
+    chosen = cut(classes.join(homes, "node", "left_semi").select("node", "_id", "_hash"), "chosen")
+    texts = docs.select(*_identity(docs, id_col, text_col)).join(small(chosen), F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_hash") == F.col("_hash")))
+    sets = cut(texts.select("node", "text").mapInArrow(_sets(words), "node long, tokens binary"), "sets")
+    if sets.count() > chosen.count():  # rows that are equal in id and text
+        sets = cut(sets.dropDuplicates(["node"]), "sets")
+    links = _compared(sets, homes, percent)
     found = components(links)
-    # what homes have not compared
+    # classes whose tokens lead to more than one component and home
     state = active.join(homes.select("node", "home"), "node").join(found, "node", "left").select("token", "node", "n", "k", "home", F.coalesce("component", "node").alias("component"))
-    several = state.groupBy("token").agg(F.min("component").alias("c0"), F.max("component").alias("c1"), F.min("home").alias("h0"), F.max("home").alias("h1")).where("c0 <> c1 AND h0 <> h1").select("token")
-    open_ = cut(state.join(several, "token"), "open")
-    x, y = (open_.select(*(F.col(c).alias(f"{s}_{c}" if c != "token" else c) for c in open_.columns)) for s in "xy")
+    open_ = cut(state.join(_several(state), "token"), "open")
+    ranked = open_.join(_buckets(open_), "token").groupBy("node").agg(F.slice(F.sort_array(F.collect_list(F.struct("size", "token", "blocks")), asc=False), 1, HOMES).alias("h"))
+    ranked = cut(ranked.select("node", F.sort_array("h.token").alias("homes"), "h"), "second-homes")
+    links = links.unionByName(_compared(sets, ranked.select("node", F.explode("h").alias("h")).select("node", F.col("h.token").alias("home"), "h.blocks"), percent))
+    found = components(links)
+    # pairs that no home has compared
+    state = open_.drop("component").join(ranked.select("node", "homes"), "node").join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    left = cut(state.join(_several(state), "token"), "left")
+    alike = cut(left.select("token", F.struct("home", "homes").alias("way")).distinct(), "ways")
+    x, y = (alike.select("token", F.col("way").alias(f"{s}_way")) for s in "xy")
+    ways = x.join(y, "token").where((F.col("x_way") < F.col("y_way")) & (F.col("x_way.home") != F.col("y_way.home")) & ~F.arrays_overlap("x_way.homes", "y_way.homes"))
+    members = left.select("token", F.struct("home", "homes").alias("way"), "node", "n", "k", "component")
+    x, y = (members.select("token", *(F.col(c).alias(f"{s}_{c}") for c in ("way", "node", "n", "k", "component"))) for s in "xy")
     near = (F.col("x_n") * 100 >= F.col("y_n") * percent) & (F.col("y_n") * 100 >= F.col("x_n") * percent)
-    apart = (F.col("x_component") != F.col("y_component")) & (F.col("x_home") != F.col("y_home"))
-    pairs = x.join(y, "token").where((F.col("x_node") < F.col("y_node")) & near & apart).groupBy(F.col("x_node").alias("a"), F.col("y_node").alias("b")).agg(F.count(F.lit(1)).alias("shared"), F.first(F.least("x_k", "y_k")).alias("k"))
+    met = x.join(cut(ways, "way-pairs"), ["token", "x_way"]).join(y, ["token", "y_way"]).where(near & (F.col("x_component") != F.col("y_component")))
+    pairs = met.groupBy(F.least("x_node", "y_node").alias("a"), F.greatest("x_node", "y_node").alias("b")).agg(F.count(F.lit(1)).alias("shared"), F.first(F.least("x_k", "y_k")).alias("k"))
     pairs = cut(pairs.where("shared >= k").select("a", "b"), "pairs")
-    whole = sets.select("node", "tokens")
-    with_x = pairs.join(whole.select(F.col("node").alias("a"), F.col("tokens").alias("x")), "a")
-    more = cut(with_x.join(whole.select(F.col("node").alias("b"), F.col("tokens").alias("y")), "b").select("a", "b", "x", "y").mapInArrow(_verified(percent), "a long, b long"), "more")
+    with_x = pairs.join(sets.select(F.col("node").alias("a"), F.col("tokens").alias("x")), "a")
+    more = cut(with_x.join(sets.select(F.col("node").alias("b"), F.col("tokens").alias("y")), "b").select("a", "b", "x", "y").mapInArrow(_verified(percent), "a long, b long"), "more")
     final = found if more.isEmpty() else components(links.unionByName(more))
     named = classes.join(final, "node", "left").select("key", "least", "class_size", F.coalesce("component", "node").alias("component"))
     smallest = named.groupBy("component").agg(F.min("least").alias("component_id"))
