@@ -223,11 +223,12 @@ def _identity(docs: DataFrame, id_col: str, text_col: str) -> list[Column]:
 def _kept_prefixes(prefixes: DataFrame, percent: int) -> DataFrame:
     """node, n, k and tokens (array of structs df, token: the rarest of the prefix that others have too) of live classes.
     prefixes has node, n and prefix."""
-    postings = prefixes.select("node", "n", F.size("prefix").alias("p"), F.explode("prefix").alias("token"))
+    postings = prefixes.select("node", F.explode("prefix").alias("token"))
     frequent = postings.groupBy("token").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
-    others = postings.join(frequent, "token").groupBy("node").agg(F.first("n").alias("n"), F.first("p").alias("p"), F.sort_array(F.collect_list(F.struct("df", "token"))).alias("found"))
+    others = postings.join(frequent, "token").groupBy("node").agg(F.sort_array(F.collect_list(F.struct("df", "token"))).alias("found"))
     least = _sql_shared(_sql_needed("n", percent), percent)
-    live = others.withColumn("l", F.expr(least).cast("int")).where("size(found) >= l")
+    sized = prefixes.select("node", "n", F.expr(f"int(n - {_sql_needed('n', percent)} + {_sql_shared('n', percent)})").alias("p"))
+    live = sized.join(others, "node").withColumn("l", F.expr(least).cast("int")).where("size(found) >= l")
     # candidates are scanned once for each posting, and verified at a cost of about n once for every k matches
     length = lambda k: f"greatest(0, p - l + {k} - (p - size(found)))"
     cost = lambda k: f"aggregate(slice(found, 1, int({length(k)})), 0D, (s, x) -> s + x.df - 1) * (1 + n / {k}D)"
@@ -250,8 +251,9 @@ def _several(state: DataFrame) -> DataFrame:
 
 
 def _compared(sets: DataFrame, homes: DataFrame, percent: int) -> DataFrame:
-    """Links (a, b) that join the components of each home's classes. homes has node, home and its number of blocks."""
-    placed = sets.join(homes, "node").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    """Links (a, b) that join the components of each home's classes. homes, a written table, has node, home and its number of
+    blocks."""
+    placed = sets.join(small(homes), "node").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     tasks = placed.withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)"))).select("home", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "node", "tokens")
     parts = int(sets.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return cut(tasks.repartition(parts, "home", "low", "high").sortWithinPartitions("home", "low", "high").mapInArrow(_block_links(percent), "a long, b long"), "links")
@@ -279,7 +281,7 @@ def link_documents(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
     active = cut(postings.join(_buckets(postings), "token"), "postings")
     homes = cut(active.groupBy("node").agg(F.max(F.struct("size", "token", "blocks")).alias("h")).select("node", F.col("h.token").alias("home"), "h.blocks"), "homes")
     # the sets of the classes that may have partners, from one document of each
-    chosen = cut(classes.join(homes, "node", "left_semi").select("node", "_id", "_hash"), "chosen")
+    chosen = cut(classes.join(small(homes), "node", "left_semi").select("node", "_id", "_hash"), "chosen")
     texts = docs.select(*_identity(docs, id_col, text_col)).join(small(chosen), F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_hash") == F.col("_hash")))
     sets = cut(texts.select("node", "text").mapInArrow(_sets(words), "node long, tokens binary"), "sets")
     if sets.count() > chosen.count():  # rows that are equal in id and text
@@ -291,7 +293,8 @@ def link_documents(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
     open_ = cut(state.join(_several(state), "token"), "open")
     ranked = open_.join(_buckets(open_), "token").groupBy("node").agg(F.slice(F.sort_array(F.collect_list(F.struct("size", "token", "blocks")), asc=False), 1, HOMES).alias("h"))
     ranked = cut(ranked.select("node", F.sort_array("h.token").alias("homes"), "h"), "second-homes")
-    links = links.unionByName(_compared(sets, ranked.select("node", F.explode("h").alias("h")).select("node", F.col("h.token").alias("home"), "h.blocks"), percent))
+    second = cut(ranked.select("node", F.explode("h").alias("h")).select("node", F.col("h.token").alias("home"), "h.blocks"), "second")
+    links = links.unionByName(_compared(sets, second, percent))
     found = components(links)
     # pairs that no home has compared
     state = open_.drop("component").join(ranked.select("node", "homes"), "node").join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
@@ -305,8 +308,10 @@ def link_documents(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
     met = x.join(cut(ways, "way-pairs"), ["token", "x_way"]).join(y, ["token", "y_way"]).where(near & (F.col("x_component") != F.col("y_component")))
     pairs = met.groupBy(F.least("x_node", "y_node").alias("a"), F.greatest("x_node", "y_node").alias("b")).agg(F.count(F.lit(1)).alias("shared"), F.first(F.least("x_k", "y_k")).alias("k"))
     pairs = cut(pairs.where("shared >= k").select("a", "b"), "pairs")
-    with_x = pairs.join(sets.select(F.col("node").alias("a"), F.col("tokens").alias("x")), "a")
-    more = cut(with_x.join(sets.select(F.col("node").alias("b"), F.col("tokens").alias("y")), "b").select("a", "b", "x", "y").mapInArrow(_verified(percent), "a long, b long"), "more")
+    asked = cut(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct(), "asked")
+    whole = sets.join(small(asked), "node", "left_semi")
+    with_x = whole.select(F.col("node").alias("a"), F.col("tokens").alias("x")).join(small(pairs), "a")
+    more = cut(with_x.join(whole.select(F.col("node").alias("b"), F.col("tokens").alias("y")), "b").select("a", "b", "x", "y").mapInArrow(_verified(percent), "a long, b long"), "more")
     final = found if more.isEmpty() else components(links.unionByName(more))
     named = classes.join(final, "node", "left").select("key", "least", "class_size", F.coalesce("component", "node").alias("component"))
     smallest = named.groupBy("component").agg(F.min("least").alias("component_id"))
