@@ -87,7 +87,7 @@ def disclosures(docs: DataFrame, found: DataFrame, text_col: str) -> DataFrame:
     together = cut(pairs.groupBy("entity", "term").agg(F.count(F.lit(1)).alias("both")).where(F.col("both") >= TOGETHER), "together")
     of_entity = found.where("size(base) > 0").select(F.explode(F.array_distinct(F.expr("transform(base, x -> x.value)"))).alias("entity")).groupBy("entity").agg(F.count(F.lit(1)).alias("n_entity"))
     terms = F.array_distinct(F.regexp_extract_all(F.lower(text_col), F.lit(_LETTERS), F.lit(0)))
-    of_term = docs.select(F.explode(terms).alias("term")).join(small(together.select("term").distinct()), "term", "left_semi").groupBy("term").agg(F.count(F.lit(1)).alias("n_term"))
+    of_term = docs.select(F.explode(terms).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n_term"))
     rated = together.join(of_entity, "entity").join(of_term, "term")
     information = F.log(F.lit(float(max(total, 1))) / F.col("n_entity"))
     shared = F.log(F.lit(float(max(total, 1))) * F.col("both") / (F.col("n_entity") * F.col("n_term")))
