@@ -39,10 +39,10 @@ LENGTHEN = 32
 #: Most matches that a class may require of its candidates before they are verified.
 MATCHES = 3
 #: Members and tokens of a block.
-BLOCK_ROWS, BLOCK_TOKENS = 1024, 500_000
+BLOCK_ROWS, BLOCK_TOKENS = 512, 300_000
 #: Homes of a class in the second round.
 HOMES = 4
-_CACHE = 300_000
+_CACHE = 150_000
 _U = np.uint64
 
 
@@ -145,30 +145,32 @@ def common_counts(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray
     return counts
 
 
-def _forest(pairs: Iterator[tuple[int, int]]) -> list[tuple[int, int]]:
-    """The pairs that join two components, in order."""
-    parent: dict[int, int] = {}
-
-    def root(x: int) -> int:
-        while (up := parent.setdefault(x, x)) != x:
-            parent[x] = x = parent[up]
-        return x
-
-    kept = []
-    for a, b in pairs:
-        if (ra := root(a)) != (rb := root(b)):
-            parent[rb] = ra
-            kept.append((a, b))
-    return kept
+def _stars(linked: np.ndarray) -> list[tuple[int, int]]:
+    """(first, member) of each component of a symmetric 0/1 matrix, by breadth-first search over its rows."""
+    fresh, out = np.ones(len(linked), bool), []
+    for first in range(len(linked)):
+        if not fresh[first]:
+            continue
+        fresh[first], front = False, np.array([first])
+        while len(front):
+            front = np.flatnonzero(linked[front].any(axis=0) & fresh)
+            fresh[front] = False
+            out += [(first, k) for k in front.tolist()]
+    return out
 
 
 def linked_in_block(left: list[tuple[int, np.ndarray]], right: list[tuple[int, np.ndarray]] | None, percent: int) -> list[tuple[int, int]]:
-    """A forest of the links within a block, or between two blocks."""
+    """The components that links within a block, or between two blocks, make: pairs of a first node and another."""
     other = left if right is None else right
-    counts = common_counts([t for _, t in left], [t for _, t in other]).astype(np.int64)
-    sizes_a, sizes_b = np.array([len(t) for _, t in left])[:, None], np.array([len(t) for _, t in other])[None, :]
-    a, b = np.nonzero(100 * counts >= percent * (sizes_a + sizes_b - counts))
-    return _forest((left[i][0], other[j][0]) for i, j in zip(a.tolist(), b.tolist(), strict=True) if left[i][0] != other[j][0])
+    both = common_counts([t for _, t in left], [t for _, t in other])
+    size_a, size_b = (np.array([len(t) for _, t in x], np.float64) for x in (left, other))
+    linked = 100.0 * both >= percent * (size_a[:, None] + size_b[None, :] - both)
+    nodes = [n for n, _ in left]
+    if right is not None:  # links within either block are found in tasks of their own
+        nodes += [n for n, _ in right]
+        a, b = linked.shape
+        linked = np.block([[np.zeros((a, a), bool), linked], [linked.T, np.zeros((b, b), bool)]])
+    return [(nodes[x], nodes[y]) for x, y in _stars(linked) if nodes[x] != nodes[y]]
 
 
 def _block_links(percent: int):

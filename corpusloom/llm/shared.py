@@ -12,6 +12,9 @@ from pyspark.sql import functions as F
 
 #: A side of a join is broadcast only if it has been counted and has at most so many (narrow) rows.
 BROADCAST_ROWS = 200_000
+#: Rows of an Arrow batch while tables are written: rows may hold long texts or sets.
+BATCH_ROWS = 500
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 #: The white space of the word definitions: space and the control characters 9 to 13.
 SPACE = r"[\x20\x09-\x0D]"
 WORD = r"[^\x20\x09-\x0D]+"
@@ -33,7 +36,12 @@ def cut(df: DataFrame, label: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark).rstrip('/')}/corpusloom/{label}-{uuid.uuid4().hex}.parquet"
-    df.write.parquet(path)
+    rows = spark.conf.get(_BATCH)
+    spark.conf.set(_BATCH, str(min(int(rows), BATCH_ROWS) if int(rows) > 0 else BATCH_ROWS))
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_BATCH, rows)
     return spark.read.schema(df.schema).parquet(path)
 
 
