@@ -29,9 +29,9 @@ from corpusloom.shipping import ship
 _WS = r"\t-\r \x85\xA0  -     　"
 SPLIT = rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{_WS}\p{{L}}\p{{N}}]+|[{_WS}]+(?![^{_WS}])|[{_WS}]+"
 #: Entries that a worker's cache of pieces may hold, and the longest piece that it keeps.
-CACHE, CACHED_LENGTH = 120_000, 64
+CACHE, CACHED_LENGTH = 200_000, 64
 #: Results of pair tests that a worker may hold.
-TESTS = 200_000
+TESTS = 400_000
 _SCHEMA = "doc_id long, n_tokens long, ids binary, decoded_sha256 string"
 
 

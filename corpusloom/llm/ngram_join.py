@@ -12,8 +12,8 @@ least l tokens in their prefixes of n - ceil(percent * n / 100) + l tokens. So:
 4. A class goes to its home, the most frequent of these tokens, where all are compared in blocks by counting common tokens;
    a block tells only the links that join its components. Large homes are cut into blocks and pairs of blocks.
 5. Classes of tokens whose classes are of several components and homes then go to the HOMES most frequent of these tokens.
-6. What is left are pairs that share tokens, but neither a home nor a component. Classes of a token with the same homes are
-   taken together to find which meet no more; their pairs must share k tokens, and are verified alone.
+6. What is left are pairs that share tokens, but neither a home nor a component. Of each token the classes outside its
+   largest component are joined to the others; pairs must share k tokens, and are verified alone.
 
 No step caps a bucket or drops a pair; whole sets are compared by 64-bit hashes of their shingles.
 """
@@ -301,13 +301,14 @@ def link_documents(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
     # pairs that no home has compared
     state = open_.drop("component").join(ranked.select("node", "homes"), "node").join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
     left = cut(state.join(_several(state), "token"), "left")
-    alike = cut(left.select("token", F.struct("home", "homes").alias("way")).distinct(), "ways")
-    x, y = (alike.select("token", F.col("way").alias(f"{s}_way")) for s in "xy")
-    ways = x.join(y, "token").where((F.col("x_way") < F.col("y_way")) & (F.col("x_way.home") != F.col("y_way.home")) & ~F.arrays_overlap("x_way.homes", "y_way.homes"))
-    members = left.select("token", F.struct("home", "homes").alias("way"), "node", "n", "k", "component")
-    x, y = (members.select("token", *(F.col(c).alias(f"{s}_{c}") for c in ("way", "node", "n", "k", "component"))) for s in "xy")
+    shares = left.groupBy("token", "component").agg(F.count(F.lit(1)).alias("m")).groupBy("token").agg(F.max_by("component", F.struct("m", "component")).alias("main"))
+    columns = ("node", "n", "k", "component", "home", "homes")
+    x = left.join(shares, "token").where(F.col("component") != F.col("main")).select("token", "main", *(F.col(c).alias(f"x_{c}") for c in columns))
+    y = left.select("token", *(F.col(c).alias(f"y_{c}") for c in columns))
     near = (F.col("x_n") * 100 >= F.col("y_n") * percent) & (F.col("y_n") * 100 >= F.col("x_n") * percent)
-    met = x.join(cut(ways, "way-pairs"), ["token", "x_way"]).join(y, ["token", "y_way"]).where(near & (F.col("x_component") != F.col("y_component")))
+    once = (F.col("y_component") == F.col("main")) | (F.col("x_node") < F.col("y_node"))
+    apart = (F.col("x_component") != F.col("y_component")) & (F.col("x_home") != F.col("y_home")) & ~F.arrays_overlap("x_homes", "y_homes")
+    met = x.join(y, "token").where(once & near & apart)
     pairs = met.groupBy(F.least("x_node", "y_node").alias("a"), F.greatest("x_node", "y_node").alias("b")).agg(F.count(F.lit(1)).alias("shared"), F.first(F.least("x_k", "y_k")).alias("k"))
     pairs = cut(pairs.where("shared >= k").select("a", "b"), "pairs")
     asked = cut(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct(), "asked")
