@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from corpusloom.llm.shared import chunks, cut, small
+from corpusloom.llm.shared import chunks, claim, cut, small
 from corpusloom.shipping import ship
 
 SLOTS, KICKS = 4, 200
@@ -136,6 +136,7 @@ def _batch(rows: list[tuple]) -> pa.RecordBatch:
 
 def _combine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Before the shuffle: one row for each text of some MB, with the row that stays and the count."""
+    claim("exact")
     seen: dict[str, tuple] = {}
     held = 0
     for batch in chunks(batches, "text", COMBINE_BYTES):
@@ -153,6 +154,7 @@ def _combine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """One bucket: every partial row goes through its cuckoo index."""
+    claim("exact")
     index = CuckooIndex()
     for batch in batches:
         for key, text, *row, n in zip(*(batch.column(c).to_pylist() for c in ("digest", "norm", "n_points", "best_id", "ties", "n")), strict=True):

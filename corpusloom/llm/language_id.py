@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.llm.shared import chunks
+from corpusloom.llm.shared import chunks, claim
 from corpusloom.shipping import ship
 
 #: Lengths of the n-grams, hashed features, centroids of a language and rounds of clustering.
@@ -117,6 +117,7 @@ def predict_languages(docs: DataFrame, model: CentroidModel, id_col: str = "doc_
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim("language")
         for batch in chunks(batches, "text"):
             out = [sent.value.predict(t) for t in batch.column("text").to_pylist()]
             kinds = (pa.string(), pa.float64(), pa.bool_())

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.llm.shared import chunks
+from corpusloom.llm.shared import chunks, claim
 from corpusloom.shipping import ship
 
 RATE = 16_000
@@ -147,6 +147,7 @@ def read_tensors(serialised: bytes) -> pa.RecordBatch:
 
 
 def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    claim("media")
     names = [f.split()[0] for f in _SCHEMA.split(", ")]
     for batch in chunks(batches, "text", 4_000_000):
         columns: dict[str, list] = {n: [] for n in ("n_bytes", "media", "payload_bytes", "payload_sha256", "tail_crc32", "n_frames", "tensors", "segments")}

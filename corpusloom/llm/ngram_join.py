@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.llm.components import components
-from corpusloom.llm.shared import chunks, cut, small
+from corpusloom.llm.shared import caches, chunks, claim, cut, small
 from corpusloom.shipping import ship
 
 WORDS, PERCENT = 5, 80
@@ -63,6 +63,7 @@ class _Words(dict):
 
 
 _words = _Words()
+caches["ngram"] = _words.clear
 
 
 def shingle_set(text: str | None, words: int) -> np.ndarray:
@@ -98,6 +99,7 @@ def _sql_shared(n: str, percent: int) -> str:
 
 def _prefixes(words: int, percent: int):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim("ngram")
         for batch in chunks(batches, "text"):
             sizes, keys, prefixes = [], [], []
             for text in batch.column("text").to_pylist():
@@ -114,6 +116,7 @@ def _prefixes(words: int, percent: int):
 
 def _sets(words: int):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim("ngram")
         for batch in chunks(batches, "text"):
             tokens = [shingle_set(t, words).tobytes() for t in batch.column("text").to_pylist()]
             yield pa.record_batch([batch.column("node"), pa.array(tokens, pa.binary())], names=["node", "tokens"])
@@ -184,6 +187,7 @@ def _block_links(percent: int):
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Rows of one task (home, low, high) stand together; each is done when the next begins."""
+        claim("ngram")
         key, held, out = None, [], []
         for batch in batches:
             for home, low, high, block, node, tokens in zip(*(batch.column(c).to_pylist() for c in ("home", "low", "high", "block", "node", "tokens")), strict=True):

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -61,9 +64,24 @@ def chunks(batches: Iterator[pa.RecordBatch], column: str, most_bytes: int = 8_0
             yield batch.slice(start, rows)
 
 
-def ascii_lower(column):
-    """Lower-cases A-Z alone."""
-    return F.translate(column, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+#: What operators keep in a worker between tasks, by operator, and how to drop it.
+caches: dict[str, Callable[[], None]] = {}
+_owner = ""
+
+
+def claim(operator: str) -> None:
+    """Called in a worker when an operator's task begins: those of other operators lose their caches, as workers are used
+    again and their memory adds up."""
+    global _owner
+    if _owner != operator:
+        for name, drop in caches.items():
+            if name != operator:
+                drop()
+        gc.collect()
+        with contextlib.suppress(OSError, AttributeError):  # not every C library gives memory back
+            ctypes.CDLL(None).malloc_trim(0)
+        pa.default_memory_pool().release_unused()
+        _owner = operator
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
