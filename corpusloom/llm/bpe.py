@@ -22,16 +22,16 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.llm.shared import caches, chunks, claim
+from corpusloom.llm.shared import bound_batches, caches, chunks, claim
 from corpusloom.shipping import ship
 
 #: The white space of Unicode, and the split of byte-level vocabularies.
 _WS = r"\t-\r \x85\xA0  -     　"
 SPLIT = rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{_WS}\p{{L}}\p{{N}}]+|[{_WS}]+(?![^{_WS}])|[{_WS}]+"
 #: Entries that a worker's cache of pieces may hold, and the longest piece that it keeps.
-CACHE, CACHED_LENGTH = 160_000, 64
+CACHE, CACHED_LENGTH = 120_000, 64
 #: Results of pair tests that a worker may hold.
-TESTS = 300_000
+TESTS = 200_000
 _SCHEMA = "doc_id long, n_tokens long, ids binary, decoded_sha256 string"
 
 
@@ -174,6 +174,7 @@ def encode_decode(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id",
     other columns of docs are not read.
     """
     ship(docs.sparkSession)
+    bound_batches(docs.sparkSession)
     with open(tokenizer_path, "rb") as file:
         vocabulary = docs.sparkSession.sparkContext.broadcast(file.read())
 

@@ -42,7 +42,7 @@ MATCHES = 3
 BLOCK_ROWS, BLOCK_TOKENS = 512, 300_000
 #: Homes of a class in the second round.
 HOMES = 4
-_CACHE = 150_000
+_CACHE = 80_000
 _U = np.uint64
 
 

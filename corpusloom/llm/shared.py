@@ -64,6 +64,12 @@ def chunks(batches: Iterator[pa.RecordBatch], column: str, most_bytes: int = 8_0
             yield batch.slice(start, rows)
 
 
+def bound_batches(spark: SparkSession) -> None:
+    """Smaller Arrow batches for the session if it has Spark's default of 10 000 rows: a row may hold a long document."""
+    if spark.conf.get(_BATCH) == "10000":
+        spark.conf.set(_BATCH, str(BATCH_ROWS))
+
+
 #: What operators keep in a worker between tasks, by operator, and how to drop it.
 caches: dict[str, Callable[[], None]] = {}
 _owner = ""
