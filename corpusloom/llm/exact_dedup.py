@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from corpusloom.llm.shared import chunks, claim, cut, small
+from corpusloom.llm.shared import chunks, claim, cut, give_back, small
 from corpusloom.shipping import ship
 
 SLOTS, KICKS = 4, 200
@@ -164,6 +164,8 @@ def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for start in range(0, len(rows), 10_000):
         keys, *numbers = zip(*rows[start : start + 10_000], strict=True)
         yield pa.record_batch([pa.array(keys, pa.binary()), *(pa.array(x, pa.int64()) for x in numbers)], names=["digest", "keep_points", "keep_id", "ties", "group_size"])
+    del index, rows
+    give_back()
 
 
 def normalised(text):

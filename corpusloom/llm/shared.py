@@ -83,12 +83,17 @@ def claim(operator: str) -> None:
         for name, drop in caches.items():
             if name != operator:
                 drop()
-        gc.collect()
-        with contextlib.suppress(OSError, AttributeError):  # not every C library gives memory back
-            ctypes.CDLL(None).malloc_trim(0)
-        pa.default_memory_pool().release_unused()
+        give_back()
         _owner = operator
 
 
+def give_back() -> None:
+    """Returns a worker's free memory to the system: workers stay for a while after their task."""
+    gc.collect()
+    with contextlib.suppress(OSError, AttributeError):  # not every C library gives memory back
+        ctypes.CDLL(None).malloc_trim(0)
+    pa.default_memory_pool().release_unused()
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
