@@ -20,6 +20,8 @@ from corpusloom.shipping import ship
 SLOTS, KICKS = 4, 200
 #: Bytes of texts that a task combines before they are dealt out.
 COMBINE_BYTES = 8_000_000
+#: Buckets that digests are dealt to, and bytes of texts after which an index ends with its bucket.
+BUCKETS, INDEX_BYTES = 1 << 20, 32_000_000
 _DROP = str.maketrans("", "", " \t\n\x0b\f\r")
 
 
@@ -153,19 +155,28 @@ def _combine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One bucket: every partial row goes through its cuckoo index."""
+    """Rows of one bucket stand together. Every partial row goes through a cuckoo index; an index takes whole buckets, and the
+    next bucket starts a new one when it holds INDEX_BYTES of texts."""
     claim("exact")
-    index = CuckooIndex()
-    for batch in batches:
-        for key, text, *row, n in zip(*(batch.column(c).to_pylist() for c in ("digest", "norm", "n_points", "best_id", "ties", "n")), strict=True):
-            had = index.find(key, text)
+    index, held, last = CuckooIndex(), 0, None
+    for batch in chunks(batches, "norm"):
+        for bucket, key, text, *row, n in zip(*(batch.column(c).to_pylist() for c in ("bucket", "digest", "norm", "n_points", "best_id", "ties", "n")), strict=True):
+            if bucket != last and held >= INDEX_BYTES:
+                yield from _found(index)
+                index, held = CuckooIndex(), 0
+            last, had = bucket, index.find(key, text)
+            held += 0 if had else len(text)
             index.insert(key, text, (better(had[0], tuple(row)), had[1] + n) if had else (tuple(row), n))
+    yield from _found(index)
+    del index
+    give_back()
+
+
+def _found(index: CuckooIndex) -> Iterator[pa.RecordBatch]:
     rows = [(key, *best, n) for key, _, (best, n) in index.items()]
     for start in range(0, len(rows), 10_000):
         keys, *numbers = zip(*rows[start : start + 10_000], strict=True)
         yield pa.record_batch([pa.array(keys, pa.binary()), *(pa.array(x, pa.int64()) for x in numbers)], names=["digest", "keep_points", "keep_id", "ties", "group_size"])
-    del index, rows
-    give_back()
 
 
 def normalised(text):
@@ -177,12 +188,14 @@ def duplicate_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     """One row per distinct normalised text: digest, keep_points, keep_id, ties (rows equal to the kept one), group_size.
 
     Copies are combined before the shuffle, so a text that fills a third of the table reaches its bucket as one row for
-    each 8 MB of a task. Buckets are as many as shuffle partitions; one holds its distinct texts in memory.
+    each 8 MB of a task. Buckets are sorted within their shuffle partition, which may be of any size: a task holds one index of
+    INDEX_BYTES and a bucket more.
     """
     ship(docs.sparkSession)
     partial = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(_combine, _PARTIAL)
-    buckets = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return partial.repartition(buckets, "digest").mapInArrow(_merge, _GROUPS)
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = partial.withColumn("bucket", F.pmod(F.xxhash64("digest"), F.lit(BUCKETS)).cast("int"))
+    return dealt.repartition(parts, "bucket").sortWithinPartitions("bucket").mapInArrow(_merge, _GROUPS)
 
 
 def _first_of_ties(rows: DataFrame, ties: bool) -> DataFrame:

@@ -337,6 +337,19 @@ def test_cuckoo_index():
         index.find(keys[1], "other")
 
 
+def test_index_ends_between_buckets(monkeypatch):
+    """Small indexes give the groups of one large index, in whatever batches rows come."""
+    rows = [(k % 7, bytes([k % 21]) * 32, "t" * (k % 21), k, k, 1, 1) for k in range(200)]
+    rows.sort(key=lambda r: r[0])
+    names = ("bucket", "digest", "norm", "n_points", "best_id", "ties", "n")
+    batches = lambda size: (pa.record_batch([*map(pa.array, zip(*rows[i : i + size], strict=True))], names=names) for i in range(0, len(rows), size))
+    groups = lambda size: sorted(tuple(r.values()) for b in exact_dedup._merge(batches(size)) for r in b.to_pylist())
+    whole = groups(200)
+    assert len(whole) == 21 and sum(r[-1] for r in whole) == 200
+    monkeypatch.setattr(exact_dedup, "INDEX_BYTES", 1)
+    assert groups(200) == groups(3) == whole
+
+
 def test_exact_dedup_sql(spark, edge, empty):
     extra = docs_of(spark, [(20, "a b", "en", "x"), (21, "ab ", "en", "x"), (19, "a  b", "en", "x"), (22, " a b", "en", "x"), (22, " a b", "en", "x"), (30, "ab\u00a0", "en", "x")])
     for docs in (edge, empty, extra, extra.unionByName(edge)):
