@@ -1,8 +1,9 @@
 """Operator 6, personal data and information-theoretic sanitisation, with DataFrame functions only.
 
-Protected entities are found by pattern. Terms near an entity are compared with it over the whole corpus: the share of the
-entity's information that a term reveals is their pointwise mutual information over the entity's own information. Terms
-above a threshold are generalised, and those that reveal nearly all of it removed.
+Protected entities are found by pattern. All terms of an entity's documents are compared with it over the whole corpus: the
+share of the entity's information that a term reveals is their pointwise mutual information over the entity's own
+information, with a shrunken estimate of how often the term comes with the entity. Terms above a threshold are generalised,
+and those that reveal nearly all of it removed.
 """
 
 from __future__ import annotations
@@ -19,13 +20,13 @@ EMAIL = r"(?:(?<![A-Za-z0-9._%+-])|\G)[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Z
 IP = r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}+"
 CARD = r"[0-9](?:[\x20-]?[0-9])++"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
-#: A term: a run of at least TERM letters. It is near an entity if it starts within NEAR characters of it.
-TERM, NEAR = 4, 60
-#: Share of an entity's information: generalised from GENERALISE on, removed from REMOVE on, if seen together in so many
-#: documents at least.
-GENERALISE, REMOVE, TOGETHER = 0.6, 0.9, 3
+#: Share of an entity's information: generalised from GENERALISE on, removed from REMOVE on.
+GENERALISE, REMOVE = 0.6, 0.9
+#: How often a term comes with an entity is estimated as if PRIOR more documents had the term, and the entity at its usual rate.
+PRIOR = 1.0
 KINDS = ("email", "ip", "card", "phone")
-_LETTERS = rf"\p{{L}}{{{TERM},}}+"
+#: A term: a run of letters.
+_LETTERS = r"\p{L}++"
 _FOUND = "array<struct<start:bigint,ord:int,kind:string,end:bigint,value:string>>"
 
 
@@ -56,7 +57,7 @@ def _ip(value: Column) -> Column:
 
 
 def entities(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """_row, doc_id, base (sorted spans) and, of rows with some, the spans of nearby terms; written to the shared folder."""
+    """_row, doc_id, base (sorted spans) and, of rows with some, the spans of their terms; written to the shared folder."""
     text = F.col("_text")
     out = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
     out = out.withColumns({"_email": F.when(F.instr(text, "@") > 0, matches(text, EMAIL)), "_ip": matches(text, IP), "_card": matches(text, CARD), "_phone": F.when(F.instr(text, "+") > 0, matches(text, PHONE))})
@@ -68,30 +69,39 @@ def entities(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     )
     out = out.select("doc_id", "_text", F.array_sort(found).cast(_FOUND).alias("base"))
     out = out.withColumn("_terms", F.when(F.size("base") > 0, matches(F.col("_text"), _LETTERS))).withColumn("_words", spans("_terms", "term", 4))
-    near = f"filter(_words, w -> exists(base, e -> w.start < e.end + {NEAR} AND w.start > e.start - {NEAR} AND (w.end <= e.start OR w.start >= e.end)))"
-    free = "filter(near, w -> NOT exists(base, e -> w.start < e.end AND e.start < w.end))"
-    out = out.withColumn("near", F.when(F.size("base") > 0, F.expr(near))).withColumn("near", F.expr(free))
-    return cut(out.select(F.monotonically_increasing_id().alias("_row"), "doc_id", "base", F.coalesce("near", F.expr(f"cast(array() as {_FOUND})")).cast(_FOUND).alias("near")), "entities")
+    free = "filter(_words, w -> NOT exists(base, e -> w.start < e.end AND e.start < w.end))"
+    words = F.coalesce(F.when(F.size("base") > 0, F.expr(free)), F.expr(f"cast(array() as {_FOUND})")).cast(_FOUND)
+    return cut(out.select(F.monotonically_increasing_id().alias("_row"), "doc_id", "base", words.alias("words")), "entities")
+
+
+def _share(both: Column, n_entity: Column, n_term: Column, total: int) -> Column:
+    """The share of an entity's information that a term reveals; 0 for an entity that every document has."""
+    usual = n_entity / F.lit(float(max(total, 1)))
+    with_term = (both + PRIOR * usual) / (n_term + PRIOR)
+    return F.when(usual < 1, 1 - F.log(with_term) / F.log(usual)).otherwise(F.lit(0.0))
 
 
 def disclosures(docs: DataFrame, found: DataFrame, text_col: str) -> DataFrame:
-    """One row per pair of entity and term with a share of at least GENERALISE: entity, term, share.
+    """_row, term and share of the terms with a share of at least GENERALISE: the largest of the row's entities.
 
-    Document frequencies are of all documents. Counts are aggregated before each shuffle; a pair, an entity or a term that
-    fills the corpus reaches its task as one row for each task before.
+    Document frequencies are of all documents. Entities of the same documents are rated as one, and a pair is counted only
+    if its share would suffice if the rarer of the two never came alone.
     """
     total = found.count()
-    pairs = found.where("size(near) > 0").select("_row", F.explode("base").alias("e"), "near").select("_row", F.col("e.value").alias("entity"), "e", F.explode("near").alias("w"))
-    close = (F.col("w.start") < F.col("e.end") + NEAR) & (F.col("w.start") > F.col("e.start") - NEAR)
-    pairs = pairs.where(close).select("_row", "entity", F.lower("w.value").alias("term")).distinct()
-    together = cut(pairs.groupBy("entity", "term").agg(F.count(F.lit(1)).alias("both")).where(F.col("both") >= TOGETHER), "together")
-    of_entity = found.where("size(base) > 0").select(F.explode(F.array_distinct(F.expr("transform(base, x -> x.value)"))).alias("entity")).groupBy("entity").agg(F.count(F.lit(1)).alias("n_entity"))
-    terms = F.array_distinct(F.regexp_extract_all(F.lower(text_col), F.lit(_LETTERS), F.lit(0)))
-    of_term = docs.select(F.explode(terms).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n_term"))
-    rated = together.join(of_entity, "entity").join(of_term, "term")
-    information = F.log(F.lit(float(max(total, 1))) / F.col("n_entity"))
-    shared = F.log(F.lit(float(max(total, 1))) * F.col("both") / (F.col("n_entity") * F.col("n_term")))
-    return rated.withColumn("share", F.when(information > 0, shared / information).otherwise(F.lit(0.0))).where(F.col("share") >= GENERALISE).select("entity", "term", "share")
+    some = found.where("size(base) > 0")
+    holders = some.select("_row", F.explode(F.array_distinct(F.expr("transform(base, x -> x.value)"))).alias("entity"))
+    same = ["n_entity", "first", "mixed"]
+    groups = holders.groupBy("entity").agg(F.count(F.lit(1)).alias("n_entity"), F.min("_row").alias("first"), F.bit_xor(F.xxhash64("_row")).alias("mixed"))
+    owned = cut(holders.join(small(cut(groups, "groups")), "entity").select("_row", *same).distinct(), "owned")
+    lowered = lambda words: F.array_distinct(F.transform(words, F.lower))
+    of_term = docs.select(F.explode(lowered(F.regexp_extract_all(text_col, F.lit(_LETTERS), F.lit(0)))).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n_term"))
+    terms = some.select("_row", F.explode(lowered(F.col("words.value"))).alias("term")).join(of_term, "term")
+    most = _share(F.least("n_entity", "n_term"), F.col("n_entity"), F.col("n_term"), total)
+    pairs = cut(terms.join(small(owned), "_row").where(most >= GENERALISE), "pairs")
+    both = pairs.groupBy(*same, "term", "n_term").agg(F.count(F.lit(1)).alias("both"))
+    leaks = both.withColumn("share", _share(F.col("both"), F.col("n_entity"), F.col("n_term"), total)).where(F.col("share") >= GENERALISE)
+    leaks = cut(leaks.select(*same, "term", "share"), "leaks")
+    return pairs.join(small(leaks), [*same, "term"]).groupBy("_row", "term").agg(F.max("share").alias("share"))
 
 
 def find_personal(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -103,10 +113,8 @@ def find_personal(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """
     found = entities(docs, id_col, text_col)
     leaks = cut(disclosures(docs, found, text_col), "disclosures")
-    each = found.where("size(near) > 0").select("_row", F.explode("base").alias("e"), "near").select("_row", "e", F.explode("near").alias("w"))
-    close = (F.col("w.start") < F.col("e.end") + NEAR) & (F.col("w.start") > F.col("e.start") - NEAR)
-    hits = each.where(close).select("_row", F.col("e.value").alias("entity"), F.lower("w.value").alias("term"), "w").join(small(leaks), ["entity", "term"])
-    worst = hits.groupBy("_row", "w").agg(F.max("share").alias("share"))
+    each = found.where("size(words) > 0").select("_row", F.explode("words").alias("w")).withColumn("term", F.lower("w.value"))
+    worst = each.join(small(leaks), ["_row", "term"])
     remove = F.col("share") >= REMOVE
     kind = F.struct(F.col("w.start").alias("start"), F.when(remove, 5).otherwise(4).cast("int").alias("ord"), F.when(remove, "remove").otherwise("generalise").alias("kind"), F.col("w.end").alias("end"), F.col("w.value").alias("value"))
     added = worst.groupBy("_row").agg(F.collect_list(kind).alias("added"))

@@ -1,6 +1,7 @@
 """Operators of corpusloom.llm against brute force, libraries, SQL and the edge cases."""
 
 import hashlib
+import math
 import re
 import zlib
 
@@ -312,6 +313,35 @@ def test_personal_spans(spark, edge, empty, texts):
     assert pii.find_personal(edge).count() == len(EDGE) and pii.find_personal(empty).count() == 0
 
 
+def test_personal_terms_of_unique_entities(spark):
+    """Shares of all terms against plain loops: entities of one document, far terms, short names, case, repeated rows."""
+    filler = "the plain report goes on and on with common words only " * 4
+    rows = [(0, f"Dear Bo {filler} write to li.q@mail.org", "en", "s"), (1, f"\u738b {filler} \u0130pek or +49 170 1234567, a@b.org", "en", "s"), (2, f"\u738b again, \u0130PEK a@b.org {filler}", "en", "s")]
+    rows += [(10 + i, f"{filler} {'word' if i % 3 else 'some'}", "en", "s") for i in range(60)] + [(2, rows[2][1], "en", "s"), (80, None, "en", "s")]
+    searched = pii.find_personal(docs_of(spark, rows)).collect()
+    base = [brute_personal(t or "") for _, t, *_ in rows]
+    letters = [[(m.start(), m.end(), m.group().lower()) for m in re.finditer(r"[^\W\d_]+", t or "")] for _, t, *_ in rows]
+    values = [{t[x[0] : x[3]] for x in found} if t else set() for (_, t, *_), found in zip(rows, base, strict=True)]
+    want = []
+    for (i, *_), found, words, own in zip(rows, base, letters, values, strict=True):
+        marks = []
+        for a, b, word in words:
+            if own and not any(a < x[3] and x[0] < b for x in found):
+                shares = []
+                for e in own:
+                    n_e, n_t = sum(e in v for v in values), sum(any(w[2] == word for w in ws) for ws in letters)
+                    both = sum(e in v and any(w[2] == word for w in ws) for v, ws in zip(values, letters, strict=True))
+                    usual = n_e / len(rows)
+                    shares.append(1 - math.log((both + usual) / (n_t + 1)) / math.log(usual))
+                if max(shares) >= 0.6:
+                    marks.append((a, b, "remove" if max(shares) >= 0.9 else "generalise"))
+        want.append((i, marks))
+    got = [(r["doc_id"], [(x["start"], x["end"], x["kind"]) for x in r["spans"] if x["kind"] in ("generalise", "remove")]) for r in searched]
+    assert sorted(got) == sorted(want)
+    marked = {i: {rows[i][1][a:b] for a, b, _ in dict(want)[i]} for i in range(3)}
+    assert {"Dear", "Bo"} <= marked[0] and {"\u738b", "\u0130pek"} <= marked[1] and not marked[0] & set(filler.split())
+
+
 def test_sanitise(spark):
     rows = [(i, f"Report by Jonquil at j@x.org today number{'abcdefghij'[i % 10] * 4}", "en", "s") for i in range(6)] + [(10 + i, f"other words {'klmnopqrst'[i % 10] * 5} today", "en", "s") for i in range(40)]
     docs = docs_of(spark, rows)
