@@ -491,6 +491,14 @@ def adaptive_backoff(spark, sf_dir):
     return translate.translated(docs, translate.failing_over(900)).select("row_id", F.md5("new_text").alias("cell"), "state")
 
 
+@query()
+def adaptive_backoff_whole(spark, sf_dir):
+    """The same for all documents and whole texts: single rows that still fail are rescued in chunks, which SQL cannot."""
+    ship(spark)
+    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("row_id"), F.col("lang").alias("label"), F.col("text").alias("source_text"))
+    return translate.translated(docs, translate.failing_over(900)).select("row_id", F.md5("new_text").alias("cell"), "state")
+
+
 @query()
 def chunked_rescue(spark, sf_dir):
     ship(spark)

@@ -1,6 +1,7 @@
 """Operators on small tables, and every query against its SQL on the smallest driver tables."""
 
 import glob
+import hashlib
 import json
 import os
 
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.config import TranslateConfig
 from corpusloom.functions import text as T
+from corpusloom.functions.chunking import chunks_of
 from corpusloom.operators import eda, ml, qa, reports, translate
 from corpusloom.plans import passes
 from corpusloom.queries import QUERIES, SQL
@@ -171,6 +173,37 @@ def test_csv_and_ods(spark, tmp_path):
         tables.write_new(df, str(tmp_path / "r"))
 
 
+def test_adaptive_backoff_whole(spark, tmp_path):
+    """All documents, long and many-lined too, against a plain loop: what fits the model in one row, else chunks of it."""
+    config = TranslateConfig()
+    line = "Some Words of a sentence. And Another one,\n  with two lines! "
+    texts = ["Short", " outer  blanks\n\n", line * 8, line * 14, line * 16, line * 300, "Unbroken" * 400, "[starts like JSON] " + line * 40, "", "tab\tand \"quotes\", commas"]
+    spark.createDataFrame([(i, t, "en") for i, t in enumerate(texts)], "doc_id long, text string, lang string").write.parquet(str(tmp_path / "documents.parquet"))
+
+    def rescued(text, limit):
+        if len(text) <= 900 and not text.startswith("["):
+            return text.lower().strip()
+        smaller = max(config.min_chunk_chars, min(limit // 2, max(config.min_chunk_chars, len(text) // 2)))
+        parts = chunks_of(text, smaller) if len(text) > config.min_chunk_chars and smaller < len(text) else []
+        if len(parts) <= 1:
+            raise ValueError
+        return "\n\n".join(rescued(p, smaller) for p in parts)
+
+    want = {}
+    for i, text in enumerate(texts):
+        body = json.dumps([{"row_id": i, "label": "en", "source_text": text}], ensure_ascii=False, indent=2)
+        try:
+            alone = text.strip() and len(body) <= 900
+            want[i] = text.lower().strip() if alone else "\n\n".join(rescued(c, config.chunk_chars) for c in chunks_of(text, config.chunk_chars)).strip()
+        except ValueError:
+            want[i] = None
+    got = {r["row_id"]: r for r in QUERIES["adaptive_backoff_whole"](spark, str(tmp_path)).collect()}
+    assert set(got) == set(want) and want[5] and want[5].count("\n\n") > 10
+    for i, text in want.items():
+        assert (got[i]["state"] == "success") == (text is not None), (i, got[i])
+        assert got[i]["cell"] == hashlib.md5((text or "").encode()).hexdigest(), (i, got[i])
+
+
 def test_resume(spark, tmp_path):
     schema = "row_id long, label string, source_text string"
     run = lambda: translate_available(spark, str(tmp_path / "in"), schema, str(tmp_path / "out"), str(tmp_path / "cp"), translate.whispering_backend).awaitTermination()
