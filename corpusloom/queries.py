@@ -576,4 +576,4 @@ def gbt_eval(spark, sf_dir):
 
 @query()
 def classifier_comparison(spark, sf_dir):
-    return ml.comparison(_evaluation(spark, sf_dir, ["bernoulli_nb", "decision_tree"]))
+    return ml.comparison(_evaluation(spark, sf_dir, ["bernoulli_nb", "decision_tree", "logistic_regression", "gradient_boosting"]))

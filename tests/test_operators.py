@@ -232,6 +232,23 @@ def test_balance(spark):
     assert ml.split_exactly(df, "k").where("in_test").count() == 200 and ml.split_exactly(df.limit(0), "k").count() == 0
 
 
+def asked_of_models(monkeypatch, spark, name):
+    """What a registered query asks of ml.evaluated: names of classifiers, vocabulary, rounds."""
+    asked = []
+
+    def evaluated(df, key, text, label, numeric, names, vocabulary=ml.VOCABULARY, rounds=500):
+        asked.append((sorted(names), vocabulary, rounds))
+        return spark.createDataFrame([("x", 1, "a", "a")], "classifier string, doc_id long, actual string, predicted string")
+
+    monkeypatch.setattr(ml, "evaluated", evaluated)
+    QUERIES[name](spark, SF)
+    return asked[0]
+
+
+def test_all_classifiers_compared(monkeypatch, spark):
+    assert asked_of_models(monkeypatch, spark, "classifier_comparison")[0] == sorted(ml.classifiers(1))
+
+
 def test_entry(spark):
     import __spark_entry__ as e
 
