@@ -548,10 +548,10 @@ def classification_report(spark, sf_dir):
     return eda.classification_report(fixed_prediction(spark, sf_dir), "a", "p").withColumns({c: F.round(c, 9) for c in ("precision", "recall", "f1")})
 
 
-def _evaluation(spark, sf_dir, names: list[str], rounds: int = 3) -> DataFrame:
-    """Predicts the language. Vocabulary and rounds are smaller than the defaults, so that four models fit a query."""
+def _evaluation(spark, sf_dir, names: list[str]) -> DataFrame:
+    """Predicts the language, with the operator's own vocabulary and rounds."""
     docs = table(spark, sf_dir, "documents").withColumn("n_sentences", T.count_sentences(F.col("text")))
-    return ml.evaluated(docs, "doc_id", "text", "lang", ["n_chars", "n_sentences"], names, vocabulary=500, rounds=rounds)
+    return ml.evaluated(docs, "doc_id", "text", "lang", ["n_chars", "n_sentences"], names)
 
 
 @query()
@@ -571,7 +571,7 @@ def logreg_eval(spark, sf_dir):
 
 @query()
 def gbt_eval(spark, sf_dir):
-    return ml.comparison(_evaluation(spark, sf_dir, ["gradient_boosting"], rounds=2))
+    return ml.comparison(_evaluation(spark, sf_dir, ["gradient_boosting"]))
 
 
 @query()

@@ -249,6 +249,11 @@ def test_all_classifiers_compared(monkeypatch, spark):
     assert asked_of_models(monkeypatch, spark, "classifier_comparison")[0] == sorted(ml.classifiers(1))
 
 
+@pytest.mark.parametrize("name", ["nb_eval", "tree_eval", "logreg_eval", "gbt_eval", "classifier_comparison"])
+def test_evaluations_use_defaults(monkeypatch, spark, name):
+    assert asked_of_models(monkeypatch, spark, name)[1:] == (50_000, 500)
+
+
 def test_entry(spark):
     import __spark_entry__ as e
 
