@@ -97,9 +97,10 @@ def _mel_bank() -> np.ndarray:
 
 
 def log_mel(signal: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Overlapped log-mel frames (n, MELS) and each frame's energy in dB; a short signal is padded to one frame."""
-    if len(signal) < FRAME:
-        signal = np.concatenate([signal, np.zeros(FRAME - len(signal), np.float32)])
+    """Overlapped log-mel frames (n, MELS) and each frame's energy in dB; the signal is padded so that the last
+    frame covers its end."""
+    missing = FRAME - len(signal) if len(signal) < FRAME else -(len(signal) - FRAME) % HOP
+    signal = np.concatenate([signal, np.zeros(missing, np.float32)])
     frames = np.lib.stride_tricks.sliding_window_view(signal, FRAME)[::HOP]
     window, mels, energies = np.hanning(FRAME).astype(np.float32), [], []
     for start in range(0, len(frames), 2048):

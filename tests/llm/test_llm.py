@@ -88,6 +88,15 @@ def test_hysteresis():
     assert media.loud_segments(energy) == [(4, 7)]
 
 
+@pytest.mark.parametrize("n", [77, 159, 160, 161, 223, 224, 225, 1000])
+def test_frames_cover_the_end(n):
+    quiet, loud = np.zeros(n, np.float32), np.zeros(n, np.float32)
+    loud[-30:] = 0.5
+    mel, energy = media.log_mel(loud)
+    assert (len(mel) - 1) * media.HOP + media.FRAME >= n and (len(mel) == 1 or (len(mel) - 2) * media.HOP + media.FRAME < n)
+    assert not np.array_equal(mel, media.log_mel(quiet)[0]) and energy[-1] > media.log_mel(quiet)[1][-1]
+
+
 # 2 BPE
 
 
