@@ -10,11 +10,15 @@ import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: A side of a join is broadcast only if it has been counted and has at most so many (narrow) rows.
 BROADCAST_ROWS = 200_000
+#: ... and so many bytes of strings and binaries.
+BROADCAST_BYTES = 64_000_000
+#: A key of more than one in so many of all rows is hot; rows of hot keys are dealt to so many places.
+HOT_KEYS, HOT_SALTS = 1_000, 4_096
 #: Rows of an Arrow batch while tables are written: rows may hold long texts or sets.
 BATCH_ROWS = 500
 _BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
@@ -24,9 +28,12 @@ WORD = r"[^\x20\x09-\x0D]+"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or where that is unset (tests) one of our own."""
+    """The folder that driver and executors share: spark.checkpoint.dir. Where that is unset, a local session (tests) gets a
+    folder of its own; on a cluster it has to be set, as executors cannot read the driver's folders."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir has to name a folder that driver and executors share")
         folder = tempfile.mkdtemp(prefix="corpusloom-")
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder
@@ -35,7 +42,7 @@ def shared_dir(spark: SparkSession) -> str:
 def cut(df: DataFrame, label: str) -> DataFrame:
     """Writes df to the shared folder and reads it back: ends its lineage, and fixes generated ids.
 
-    The files outlive executors. They stay until the folder is cleaned, as a lazy result may still read them.
+    The files outlive executors. They stay until spent() or until the folder is cleaned, as a lazy result may still read them.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark).rstrip('/')}/corpusloom/{label}-{uuid.uuid4().hex}.parquet"
@@ -45,13 +52,58 @@ def cut(df: DataFrame, label: str) -> DataFrame:
         df.write.parquet(path)
     finally:
         spark.conf.set(_BATCH, rows)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.cut_path = path
+    return out
 
 
-def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """df marked for broadcast if it is counted to have at most `rows` rows; else as it is, for a shuffled join that
-    adaptive execution may split. df must be narrow and cheap to count (the result of cut())."""
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+def spent(*tables: DataFrame) -> None:
+    """Deletes the files of results of cut() that nothing reads any more."""
+    for table in tables:
+        spark = table.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(table.cut_path)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def small(df: DataFrame, rows: int = BROADCAST_ROWS, most_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """df marked for broadcast if it has at most `rows` rows, and most_bytes in its strings and binaries; else as it is, for a
+    shuffled join that adaptive execution may split. df must be narrow and cheap to read (the result of cut())."""
+    long = [F.coalesce(F.octet_length(f.name), F.lit(0)).cast("long") for f in df.schema if f.dataType.simpleString() in ("string", "binary")]
+    n, size = df.agg(F.count(F.lit(1)), F.coalesce(F.sum(sum(long, F.lit(0).cast("long"))), F.lit(0))).first()
+    return F.broadcast(df) if n <= rows and size <= most_bytes else df
+
+
+def apart(docs: DataFrame, *columns: str) -> list:
+    """docs with its columns under private names, which no caller's column can clash with, and the private names of `columns`.
+    restored() gives the names back."""
+    names = docs.columns
+    places = [names.index(c) if c in names else [n.lower() for n in names].index(c.lower()) for c in columns]
+    return [docs.toDF(*(f"own_{i}" for i in range(len(names)))), *(f"own_{i}" for i in places)]
+
+
+def restored(df: DataFrame, docs: DataFrame) -> DataFrame:
+    """The columns of docs, in their order and by their names, of rows that come from apart(docs)."""
+    return df.select(*(f"own_{i}" for i in range(len(docs.columns)))).toDF(*docs.columns)
+
+
+def matched(rows: DataFrame, key: str, table: DataFrame, weight: str, total: int, spread: Column) -> DataFrame:
+    """rows joined (left) to table, a result of cut() with one row per key, by the column `key` of both; no task gets a hot key.
+
+    weight, a column of table, is how many of the `total` rows have the key. Keys of more than one in HOT_KEYS of all rows are
+    at most HOT_KEYS, and are broadcast; rows that they match are dealt out by `spread`, a whole number, all others by key.
+    """
+    joined = small(table)
+    if joined is not table:  # few enough as a whole
+        return rows.join(joined, key, "left")
+    names = [c for c in table.columns if c != key]
+    hot = F.col(weight) * HOT_KEYS > total
+    first = table.where(hot).select(key, F.struct(*names).alias("_hot"))
+    rest = table.where(~hot).select(F.col(key).alias("_key"), F.lit(0).alias("_zero"), F.struct(*names).alias("_cold"))
+    marked = rows.withColumn("_spread", spread).join(F.broadcast(first), key, "left")  # at most HOT_KEYS rows
+    cold = F.col("_hot").isNull()
+    marked = marked.withColumns({"_dealt": F.when(cold, F.col(key)), "_salt": F.when(cold, 0).otherwise(1 + F.pmod("_spread", F.lit(HOT_SALTS))).cast("int")})
+    out = marked.join(rest, (F.col("_dealt") == F.col("_key")) & (F.col("_salt") == F.col("_zero")), "left").withColumn("_found", F.coalesce("_hot", "_cold"))
+    return out.select(*rows.columns, *(F.col(f"_found.{c}").alias(c) for c in names))
 
 
 def chunks(batches: Iterator[pa.RecordBatch], column: str, most_bytes: int = 8_000_000) -> Iterator[pa.RecordBatch]:
