@@ -11,10 +11,10 @@ import hashlib
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.llm.shared import chunks, claim, cut, give_back, small
+from corpusloom.llm.shared import apart, chunks, claim, cut, give_back, matched, restored, small
 from corpusloom.shipping import ship
 
 SLOTS, KICKS = 4, 200
@@ -77,15 +77,16 @@ class CuckooFilter:
 
 
 class CuckooIndex:
-    """Live digests with their content: the filter in front, stored keys and texts behind it."""
+    """Live digests with their content: the filter in front, stored keys and texts behind it, which only hits look up."""
 
     def __init__(self, capacity: int = 1024) -> None:
-        self.filter, self.content, self.resizes = CuckooFilter(capacity), {}, 0
+        self.filter, self.content, self.resizes, self.probes = CuckooFilter(capacity), {}, 0, 0
 
     def find(self, key: bytes, text: str):
-        """The value stored for this key, or None. A hit of the filter is verified against key and text."""
+        """The value stored for this key, or None: at once if the filter does not know it. A hit is verified against key and text."""
         if key not in self.filter:
             return None
+        self.probes += 1
         stored = self.content.get(key)
         if stored is None:
             return None
@@ -94,15 +95,14 @@ class CuckooIndex:
         return stored[1]
 
     def insert(self, key: bytes, text: str, value) -> None:
-        """Stores a key; replaces the value of one that is in."""
-        known = key in self.content
+        """Stores a key that find() did not find."""
         self.content[key] = (text, value)
-        if not known and not self.filter.add(key):
+        if not self.filter.add(key):
             self._grow()
 
     def delete(self, key: bytes) -> bool:
         """Takes a live digest out; False if it is not in."""
-        if self.content.pop(key, None) is None:
+        if key not in self.filter or self.content.pop(key, None) is None:
             return False
         return self.filter.remove(key)
 
@@ -165,8 +165,14 @@ def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 yield from _found(index)
                 index, held = CuckooIndex(), 0
             last, had = bucket, index.find(key, text)
-            held += 0 if had else len(text)
-            index.insert(key, text, (better(had[0], tuple(row)), had[1] + n) if had else (tuple(row), n))
+            if had is None:
+                held += len(text)
+                index.insert(key, text, [tuple(row), n])
+            elif (best := better(had[0], tuple(row))) is had[0] or best[:2] == had[0][:2]:  # the live row stays
+                had[:] = best, had[1] + n
+            else:  # a later row takes its place: the live digest goes, the other's comes
+                index.delete(key)
+                index.insert(key, text, [best, had[1] + n])
     yield from _found(index)
     del index
     give_back()
@@ -198,41 +204,58 @@ def duplicate_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     return dealt.repartition(parts, "bucket").sortWithinPartitions("bucket").mapInArrow(_merge, _GROUPS)
 
 
-def _first_of_ties(rows: DataFrame, ties: bool) -> DataFrame:
-    """Of rows that stay and are equal in id and text, the first only. `ties` tells whether there are such rows."""
-    if not ties:
-        return rows
-    alone = rows.where("NOT _stays OR coalesce(_ties, 1) = 1")
-    among = rows.where("_stays AND _ties > 1").withColumn("_stays", F.row_number().over(Window.partitionBy("_digest").orderBy(F.lit(0))) == 1)
-    return alone.unionByName(among)
+def _keyed(docs: DataFrame, text: str) -> DataFrame:
+    return docs.withColumn("digest", F.unhex(F.sha2(normalised(F.col(text)), 256))).withColumn("points", F.coalesce(F.length(text), F.lit(0)))
+
+
+def _stays(row_id: str) -> Column:
+    return F.col("group_size").isNull() | (F.col(row_id).eqNullSafe(F.col("keep_id")) & (F.col("points") == F.col("keep_points")))
 
 
-def _decided(docs: DataFrame, groups: DataFrame, how: str, id_col: str, text_col: str) -> DataFrame:
-    marks = groups.select(*(F.col(c).alias(f"_{c}") for c in groups.columns))
-    keyed = docs.withColumn("_digest", F.unhex(F.sha2(normalised(F.col(text_col)), 256))).withColumn("_points", F.coalesce(F.length(text_col), F.lit(0)))
-    stays = F.col("_group_size").isNull() | (F.col(id_col).eqNullSafe(F.col("_keep_id")) & (F.col("_points") == F.col("_keep_points")))
-    joined = keyed.join(marks, "_digest", how).withColumn("_stays", stays)
-    return _first_of_ties(joined, not groups.where("ties > 1").isEmpty())
+def _groups_of_two(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, int, bool]:
+    """The groups of two rows or more, the number of rows in them, and whether some of them have ties."""
+    groups = cut(duplicate_groups(docs, id_col, text_col).where("group_size > 1"), "groups")
+    found = groups.agg(F.sum("group_size"), F.max("ties")).first()
+    return groups, found[0] or 0, (found[1] or 0) > 1
 
 
 def mark_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of docs: doc_id, keep_id, group_size, kept, text_sha256 (of the normalised text).
 
-    The row with the most code points stays, then the smallest id (null last); of rows that are equal in id and text, one.
-    Null and empty texts are one group. Tables without rows give none; columns other than the two named are not read.
+    The row with the most code points stays, then the smallest id (null last); of rows that are equal in both, the one with
+    the smallest hash of its text, and one of those that are equal in all. Null and empty texts are one group. Tables without
+    rows give none; columns other than the two named are not read. Only groups of two or more are joined to the rows; a hot
+    group's rows are dealt to many tasks.
     """
-    groups = cut(duplicate_groups(docs, id_col, text_col), "groups")
-    rows = _decided(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")), groups, "inner", "doc_id", "text")
-    return rows.select("doc_id", F.col("_keep_id").alias("keep_id"), F.col("_group_size").alias("group_size"), F.col("_stays").alias("kept"), F.lower(F.hex("_digest")).alias("text_sha256"))
+    groups, in_groups, ties = _groups_of_two(docs, id_col, text_col)
+    rows = _keyed(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")), "text").withColumn("order", F.xxhash64("text"))
+    marked = matched(rows.drop("text"), "digest", groups, "group_size", in_groups, F.xxhash64("doc_id", "order")).withColumn("kept", _stays("doc_id"))
+    if ties:
+        numbered = cut(marked.withColumn("row", F.monotonically_increasing_id()), "marked")
+        first = numbered.where("kept AND ties > 1").groupBy("digest").agg(F.min(F.struct("order", "row"))["row"].alias("row")).select("row", F.lit(True).alias("first"))
+        marked = numbered.join(small(cut(first, "first")), "row", "left").withColumn("kept", F.col("kept") & (F.col("first") | (F.coalesce("ties", F.lit(1)) == 1)))
+        marked = marked.withColumn("kept", F.coalesce("kept", F.lit(False)))
+    single = F.col("group_size").isNull()
+    return marked.select("doc_id", F.when(single, F.col("doc_id")).otherwise(F.col("keep_id")).alias("keep_id"), F.coalesce("group_size", F.lit(1)).cast("long").alias("group_size"), "kept", F.lower(F.hex("digest")).alias("text_sha256"))
 
 
 def drop_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """docs without the rows that do not stay, all columns kept; the cases are those of mark_duplicates.
+    """docs without the rows that do not stay, all columns kept, whatever their names.
 
-    Only groups of two or more are joined to the documents, so texts move only if there are more than BROADCAST_ROWS such.
+    Which rows stay is as in mark_duplicates; of rows that are equal in id and code points, the one with the smallest hash of
+    all its columns. Only groups of two or more are joined to the documents, so texts move only if there are more than
+    BROADCAST_ROWS such.
     """
-    groups = cut(duplicate_groups(docs, id_col, text_col).where("group_size > 1"), "groups")
-    return _decided(docs, small(groups), "left", id_col, text_col).where("_stays").select(*docs.columns)
+    groups, in_groups, ties = _groups_of_two(docs, id_col, text_col)
+    own, row_id, text = apart(docs, id_col, text_col)
+    joined = matched(_keyed(own, text), "digest", groups, "group_size", in_groups, F.xxhash64(row_id, text))
+    left = joined.where(_stays(row_id))
+    if not ties:
+        return restored(left, docs)
+    names = own.columns
+    among = left.where("ties > 1").withColumn("order", F.sha2(F.to_json(F.struct(*names)), 256))
+    first = among.groupBy("digest").agg(F.min_by(F.struct(*names), "order").alias("r")).select("r.*")
+    return restored(left.where("coalesce(ties, 1) = 1").select(*names).unionByName(first), docs)
 
 
 SQL = r"""
