@@ -35,17 +35,25 @@ INDEX_BYTES = 256_000_000
 _HEAD = np.dtype("<u8")
 
 
-def build_index(rules: Iterable[tuple[str, str, str]]) -> bytes:
-    """The index file: number of rules and bytes of strings; then keys in order, verdicts, string ends, and the strings.
+def usable(rules: Iterable[tuple[str, str, str]]) -> dict[tuple[str, str], str]:
+    """Verdicts by host and path of the rules that can fit: paths begin with a slash or are empty. Of a rule that comes with
+    both verdicts, block holds."""
+    out: dict[tuple[str, str], str] = {}
+    for verdict, host, path in rules:
+        if host and path[:1] in ("", "/") and out.get((host, path)) != "block":
+            out[host, path] = verdict
+    return out
 
-    A rule that comes twice keeps its last verdict.
-    """
-    verdicts = {host + path: verdict for verdict, host, path in rules}
-    rows = sorted((xxhash.xxh64_intdigest(s), s.encode(), v == "block") for s, v in verdicts.items())
+
+def build_index(rules: Iterable[tuple[str, str, str]]) -> bytes:
+    """The index file: numbers of rules, of path lengths and of label counts; then keys in order, string ends, lengths of
+    paths and numbers of host labels that rules have, verdicts, and the strings."""
+    verdicts = usable(rules)
+    rows = sorted((xxhash.xxh64_intdigest(h + p), (h + p).encode(), v == "block") for (h, p), v in verdicts.items())
     keys = np.array([r[0] for r in rows], "<u8")
     ends = np.cumsum([0, *(len(r[1]) for r in rows)]).astype("<u8")
-    lengths = np.unique([len(p) for _, _, p in rules]).astype("<u8")
-    parts = [np.array([len(rows), len(lengths)], "<u8"), keys, ends, lengths, np.array([r[2] for r in rows], "u1")]
+    lengths, labels = (np.unique(x).astype("<u8") for x in ([len(p) for _, p in verdicts], [h.count(".") + 1 for h, _ in verdicts]))
+    parts = [np.array([len(rows), len(lengths), len(labels)], "<u8"), keys, ends, lengths, labels, np.array([r[2] for r in rows], "u1")]
     return b"".join(p.tobytes() for p in parts) + b"".join(r[1] for r in rows)
 
 
@@ -54,12 +62,13 @@ class DigestIndex:
 
     def __init__(self, path: str | Path) -> None:
         data = np.memmap(path, np.uint8, "r")
-        n, m = data[:16].view(_HEAD).tolist()
-        at = 16
+        n, m, h = data[:24].view(_HEAD).tolist()
+        at = 24
         self.keys, at = data[at : at + 8 * n].view(_HEAD), at + 8 * n
         self.ends, at = data[at : at + 8 * (n + 1)].view(_HEAD), at + 8 * (n + 1)
-        #: Lengths of path prefixes that rules have: no others are looked up.
+        #: Lengths of paths and numbers of host labels that rules have: no others are looked up.
         self.lengths, at = data[at : at + 8 * m].view(_HEAD).tolist(), at + 8 * m
+        self.labels, at = data[at : at + 8 * h].view(_HEAD).tolist(), at + 8 * h
         self.blocks, self.strings = data[at : at + n], data[at + n :]
 
     def find(self, probes: list[str]) -> list[int]:
@@ -106,17 +115,22 @@ def split_url(url: str | None) -> tuple[str, str]:
     return rest[:end].translate(_LOWER), tail[:stop]
 
 
-def probes_of(host: str, path: str, lengths: list[int]) -> list[str]:
-    """Host and every parent domain with every prefix of the path that a rule could have, longest first."""
-    labels = host.split(".")
-    hosts = [".".join(labels[k:]) for k in range(len(labels))]
+def probes_of(host: str, path: str, lengths: list[int], labels: list[int]) -> list[str]:
+    """The parent domains of the host with the prefixes of the path that a rule could have, the longest first, and of equally
+    long ones that with the longest host. The cost follows the rules' lengths, not the url's."""
+    hosts, known = [], host.count(".") + 1
+    for n in labels:
+        if n <= known:
+            hosts.append(host if n == known else ".".join(host.rsplit(".", n)[-n:]))
     prefixes = [path[:n] for n in lengths if n <= len(path)]
-    return sorted((h + p for h in hosts for p in prefixes), key=len, reverse=True)
+    pairs = sorted(((h, p) for h in hosts for p in prefixes), key=lambda x: (len(x[0]) + len(x[1]), len(x[0])), reverse=True)
+    return [h + p for h, p in pairs]
 
 
 def judge(pages: DataFrame, rules: Iterable[tuple[str, str, str]] = RULES, default: str = DEFAULT, id_col: str = "page_id", url_col: str = "url") -> DataFrame:
-    """One row per row of pages: page_id, host, path, rule, verdict. Every url is judged by the longest rule that fits, or by
-    `default` where none does (rule null).
+    """One row per row of pages: page_id, host, path, rule, verdict. Every url is judged by the longest rule (host and path)
+    that fits, of equally long ones by that with the longest host, or by `default` where none does (rule null). Of a rule that
+    comes with both verdicts, block holds; one whose path does not begin with a slash fits nothing, unless it is empty.
 
     The index is built on the driver and sent to the workers if it has at most INDEX_BYTES; above that a ValueError asks for
     judge_joined(), which joins instead. Null urls and urls without :// have an empty host and path, which no rule fits.
@@ -133,7 +147,7 @@ def judge(pages: DataFrame, rules: Iterable[tuple[str, str, str]] = RULES, defau
         table = mapped(sent.value)
         for batch in chunks(batches, "url"):
             parts = [split_url(u) for u in batch.column("url").to_pylist()]
-            probes = [probes_of(h, p, table.lengths) if h else [] for h, p in parts]
+            probes = [probes_of(h, p, table.lengths, table.labels) if h else [] for h, p in parts]
             flat = [x for own in probes for x in own]
             places, at, rule, verdict = table.find(flat), 0, [], []
             for own in probes:
@@ -148,23 +162,29 @@ def judge(pages: DataFrame, rules: Iterable[tuple[str, str, str]] = RULES, defau
 
 
 def judge_joined(pages: DataFrame, rules: DataFrame, default: str = DEFAULT, id_col: str = "page_id", url_col: str = "url") -> DataFrame:
-    """The same as judge() for rule tables (verdict, host, path) of any size: probes meet rules by key and string in a join.
+    """The same as judge() for rule tables (verdict, host, path) of any size: probes meet rules by their string in a join.
 
-    Every prefix of a path counts, so a url of n characters makes up to n probes for each of its parent domains.
+    Rules with a null count as none. The driver gets the lengths of paths and the numbers of host labels that rules have, which
+    are as many as the longest rule's characters at most; a url is probed at these only.
     """
+    good = rules.where("verdict IS NOT NULL AND host <> '' AND (path = '' OR path LIKE '/%')")
+    table = cut(good.groupBy("host", "path").agg(F.max(F.col("verdict") == "block").alias("blocks")), "rules")
+    dots = F.length("host") - F.length(F.replace(F.col("host"), F.lit("."), F.lit("")))
+    known = table.agg(F.array_sort(F.collect_set(F.length("path"))).alias("lengths"), F.array_sort(F.collect_set(dots + 1)).alias("labels")).first()
     url = F.coalesce(F.col(url_col), F.lit(""))
     parsed = pages.select(F.col(id_col).cast("long").alias("page_id"), url.alias("_u")).withColumn("_rest", F.when(F.instr("_u", "://") > 0, F.expr("substring(_u, instr(_u, '://') + 3)")).otherwise(""))
-    host = F.regexp_extract("_rest", r"^([^/?#]*)", 1)
-    parsed = parsed.withColumn("_h", host).withColumn("path", F.regexp_extract(F.expr("substring(_rest, length(_h) + 1)"), r"^([^?#]*)", 1))
+    host = F.regexp_extract("_rest", r"^([^/?#]*+)", 1)
+    parsed = parsed.withColumn("_h", host).withColumn("path", F.regexp_extract(F.expr("substring(_rest, length(_h) + 1)"), r"^([^?#]*+)", 1))
     parsed = parsed.withColumn("host", F.translate("_h", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")).withColumn("_row", F.monotonically_increasing_id())
     parsed = cut(parsed.select("_row", "page_id", "host", "path"), "urls")
-    labels = F.expr("transform(sequence(0, size(split(host, '[.]')) - 1), k -> array_join(slice(split(host, '[.]'), k + 1, 1000000), '.'))")
-    prefixes = F.expr("transform(sequence(0, length(path)), k -> left(path, k))")
-    probes = parsed.where("host <> ''").select("_row", F.explode(labels).alias("_parent"), prefixes.alias("_prefixes"))
-    probes = probes.select("_row", "_parent", F.explode("_prefixes").alias("_prefix")).select("_row", F.concat("_parent", "_prefix").alias("rule"))
-    table = rules.select(F.concat("host", "path").alias("rule"), "verdict")
-    best = probes.join(table, "rule").groupBy("_row").agg(F.max_by(F.struct("rule", "verdict"), F.struct(F.length("rule"), "rule")).alias("_best"))
-    return parsed.join(best, "_row", "left").select("page_id", "host", "path", F.col("_best.rule").alias("rule"), F.coalesce("_best.verdict", F.lit(default)).alias("verdict"))
+    numbers = lambda values: F.array(*map(F.lit, values)).cast("array<int>")
+    sized = parsed.where("host <> ''").withColumns({"_n": dots + 1, "_lengths": F.filter(numbers(known["lengths"]), lambda n: n <= F.length("path")), "_labels": numbers(known["labels"])})
+    probes = sized.select("_row", "path", "_lengths", F.explode(F.expr("transform(filter(_labels, n -> n <= _n), n -> substring_index(host, '.', -n))")).alias("host"))
+    probes = probes.select("_row", "host", F.explode(F.expr("transform(_lengths, n -> left(path, n))")).alias("path"))
+    rule = F.concat("host", "path")
+    best = probes.join(table, ["host", "path"]).groupBy("_row").agg(F.max_by(F.struct(rule.alias("rule"), "blocks"), F.struct(F.length(rule), F.length("host"))).alias("_best"))
+    verdict = F.when(F.col("_best").isNull(), default).when(F.col("_best.blocks"), "block").otherwise("allow")
+    return parsed.join(best, "_row", "left").select("page_id", "host", "path", F.col("_best.rule").alias("rule"), verdict.alias("verdict"))
 
 
 _FITS = [f"WHEN (host = '{h}' OR ends_with(host, '.{h}')) AND starts_with(path, '{p}') THEN '{h}{p}'" for _, h, p in sorted(RULES, key=lambda r: -len(r[1] + r[2]))]
