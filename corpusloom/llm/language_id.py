@@ -7,28 +7,35 @@ training texts of that language are from theirs is marked as rejected.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.llm.shared import chunks, claim
+from corpusloom.llm.shared import chunks, claim, cut, small
 from corpusloom.shipping import ship
 
 #: Lengths of the n-grams, hashed features, centroids of a language and rounds of clustering.
 GRAMS, FEATURES, CENTROIDS, ROUNDS = (1, 2, 3), 1 << 13, 4, 8
-#: The classifier is fitted on about this many documents of each language at most, drawn by hash, and on so many in all.
-SAMPLE, SAMPLE_IN_ALL = 400, 4_000
+#: The classifier is fitted on about this many documents of each language at most, drawn by hash, and on so many in all; on
+#: about EACH of each language where that makes more.
+SAMPLE, SAMPLE_IN_ALL, EACH = 400, 4_000, 8
+#: Most bytes of centroids in a worker: about 8000 languages.
+MODEL_BYTES = 1 << 30
 #: The training texts' share that may lie beyond the rejection distance.
 REJECTED = 0.005
 _STEP = 100_000
+_SIGNS = re.compile(r"[\x00-\x40\x5b-\x60\x7b-\x7f\s]+")
 
 
 def vector(text: str) -> np.ndarray:
-    """Counts of the hashed n-grams of the lower-cased text; words are set apart by single blanks."""
-    points = np.frombuffer((" " + " ".join(text.lower().split()) + " ").encode("utf-32-le"), np.uint32).astype(np.uint64)
+    """Counts of the hashed n-grams of the lower-cased text; single blanks stand for white space, and for the signs and digits of
+    ASCII, which tell styles apart and not languages."""
+    points = np.frombuffer((" " + _SIGNS.sub(" ", text.lower()).strip() + " ").encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
     counts = np.zeros(FEATURES)
     for start in range(0, len(points), _STEP):
         part = points[start : start + _STEP + max(GRAMS) - 1]
@@ -49,39 +56,43 @@ def scaled(counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
     return out / np.where(norm > 0, norm, 1)
 
 
+def packed(counts: np.ndarray) -> tuple[bytes, bytes]:
+    """The places and values of what is not 0."""
+    at = np.flatnonzero(counts)
+    return at.astype("<u2").tobytes(), counts[at].astype("<f4").tobytes()
+
+
+def unpacked(places: bytes, values: bytes) -> np.ndarray:
+    out = np.zeros(FEATURES, np.float32)
+    out[np.frombuffer(places, "<u2")] = np.frombuffer(values, "<f4")
+    return out
+
+
+def cluster(own: np.ndarray) -> tuple[np.ndarray, float]:
+    """Centroids of one language's vectors by spherical k-means, started from spread-out members, and the distance from their
+    centroid that all but REJECTED of the vectors keep; all deterministic."""
+    chosen = [int(np.argmax(own @ own.sum(axis=0)))]
+    while len(chosen) < min(CENTROIDS, len(own)):
+        chosen.append(int(np.argmin((own @ own[chosen].T).max(axis=1))))
+    centres = own[chosen]
+    for _ in range(ROUNDS):
+        nearest = np.argmax(own @ centres.T, axis=1)
+        sums = np.array([own[nearest == k].sum(axis=0) if (nearest == k).any() else centres[k] for k in range(len(centres))])
+        centres = sums / np.linalg.norm(sums, axis=1, keepdims=True)
+    return centres.astype(np.float32), float(np.quantile(1 - (own @ centres.T).max(axis=1), 1 - REJECTED))
+
+
 class CentroidModel:
     """IDF, centroids with their languages, and each language's rejection distance."""
 
     def __init__(self, idf: np.ndarray, centroids: np.ndarray, languages: list[str], limits: dict[str, float]) -> None:
         self.idf, self.centroids, self.languages, self.limits = idf, centroids, languages, limits
 
-    @classmethod
-    def fit(cls, texts: list[str], languages: list[str]) -> CentroidModel:
-        """Spherical k-means within each language, started from spread-out members; all deterministic."""
-        counts = np.array([vector(t) for t in texts]).reshape(len(texts), FEATURES).astype(np.float32)
-        idf = np.log((1 + len(texts)) / (1 + (counts > 0).sum(axis=0))) + 1
-        vectors, names, rows, limits = scaled(counts, idf), np.array(languages), [], {}
-        labels: list[str] = []
-        for name in sorted(set(languages)):
-            own = vectors[names == name]
-            chosen = [int(np.argmax(own @ own.sum(axis=0)))]
-            while len(chosen) < min(CENTROIDS, len(own)):
-                chosen.append(int(np.argmin((own @ own[chosen].T).max(axis=1))))
-            centres = own[chosen]
-            for _ in range(ROUNDS):
-                nearest = np.argmax(own @ centres.T, axis=1)
-                sums = np.array([own[nearest == k].sum(axis=0) if (nearest == k).any() else centres[k] for k in range(len(centres))])
-                centres = sums / np.linalg.norm(sums, axis=1, keepdims=True)
-            limits[name] = float(np.quantile(1 - (own @ centres.T).max(axis=1), 1 - REJECTED))
-            rows.append(centres)
-            labels += [name] * len(centres)
-        return cls(idf, np.concatenate(rows) if rows else np.zeros((0, FEATURES)), labels, limits)
-
     def predict(self, text: str | None) -> tuple[str, float, bool]:
         """Language, cosine (0 to 1) and whether the text is too far from it; und, 0, True without letters."""
-        if not text or not self.languages or not any(map(str.isalpha, text)):
+        if not self.languages or not _letters(text):
             return "und", 0.0, True
-        cosines = self.centroids @ scaled(vector(text), self.idf)
+        cosines = self.centroids @ scaled(vector(text), self.idf).astype(np.float32)
         best = int(np.argmax(cosines))
         score = min(1.0, max(0.0, float(cosines[best])))
         return self.languages[best], score, 1 - score > self.limits[self.languages[best]]
@@ -92,19 +103,66 @@ def held_out(id_col: str):
     return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
+def _letters(text: str | None) -> bool:
+    return any(map(str.isalpha, text or ""))
+
+
+def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    claim("language")
+    for batch in chunks(batches, "text"):
+        rows = [(lang, h, *packed(vector(text))) for lang, h, text in zip(*(batch.column(c).to_pylist() for c in ("lang", "h", "text")), strict=True) if _letters(text)]
+        kinds = (pa.string(), pa.int64(), pa.binary(), pa.binary())
+        yield pa.record_batch([pa.array([r[k] for r in rows], kind) for k, kind in enumerate(kinds)], names=["lang", "h", "places", "counts"])
+
+
+def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows and document frequencies of one task's vectors; place -1 has the number of rows."""
+    total, rows = np.zeros(FEATURES, np.int64), 0
+    for batch in batches:
+        rows += batch.num_rows
+        for places in batch.column("places").to_pylist():
+            total[np.frombuffer(places, "<u2")] += 1
+    yield pa.record_batch([pa.array([-1, *range(FEATURES)], pa.int32()), pa.array([rows, *total.tolist()], pa.int64())], names=["place", "df"])
+
+
 def fit(docs: DataFrame, sample: int = SAMPLE, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> CentroidModel:
-    """Fits the model on about `sample` documents of each language at most, drawn by hash from those not held out.
+    """Fits the model on about `sample` documents of each language at most and SAMPLE_IN_ALL in all, or EACH of each language
+    where that is more; drawn by a hash of id and text from those that are not held out. Equal rows are learned from once.
 
-    Language and id choose the training rows only. Rows with a null language or no letter are not learned from.
+    Language and id choose the training rows only. Rows with a null language or no letter are not learned from. Every other
+    language is learned: of one from which nothing would be drawn, the row of smallest hash is. Vectors are made and clustered
+    in the workers, a language at a time; the driver gets document frequencies of the FEATURES and the centroids, and raises a
+    ValueError if these have more than MODEL_BYTES.
     """
-    rows = docs.where(~held_out(id_col) & F.col(lang_col).isNotNull()).select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"), F.xxhash64(F.col(id_col), F.lit("lang")).alias("h"))
-    counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n")).limit(1000).collect()}
-    keep = F.lit(False)
-    for lang, n in counts.items():
-        share = min(1.0, sample / n, SAMPLE_IN_ALL / len(counts) / n)
-        keep = keep | ((F.col("lang") == lang) & (F.pmod(F.col("h"), F.lit(1 << 30)) < int(share * (1 << 30))))
-    chosen = [r for r in rows.where(keep).orderBy("lang", "h").limit(2 * SAMPLE_IN_ALL).toLocalIterator() if any(map(str.isalpha, r["text"] or ""))]
-    return CentroidModel.fit([r["text"] for r in chosen], [r["lang"] for r in chosen])
+    spark = docs.sparkSession
+    ship(spark)
+    rows = docs.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text"), F.xxhash64(F.col(id_col), F.col(text_col), F.lit("lang")).alias("h"), held_out(id_col).alias("out"))
+    rows = rows.where("NOT out AND lang IS NOT NULL").where(F.coalesce("text", F.lit("")).rlike(r"\p{L}")).drop("out")
+    shares = cut(rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n"), F.min("h").alias("least")), "languages")
+    languages = shares.count()
+    if not languages:
+        return CentroidModel(np.zeros(FEATURES), np.zeros((0, FEATURES), np.float32), [], {})
+    most = min(sample, max(EACH, SAMPLE_IN_ALL / languages))
+    limits = shares.select("lang", "least", F.floor(F.least(F.lit(1.0), F.lit(float(most)) / F.col("n")) * (1 << 30)).alias("limit"))
+    drawn = rows.join(small(limits), "lang").where((F.pmod("h", F.lit(1 << 30)) < F.col("limit")) | (F.col("h") == F.col("least")))
+    counted = drawn.select("lang", "h", "text").mapInArrow(_count, "lang string, h long, places binary, counts binary")
+    vectors = cut(counted.groupBy("lang", "h").agg(F.first("places").alias("places"), F.first("counts").alias("counts")), "vectors")
+    seen = {r["place"]: r["df"] for r in vectors.select("places").mapInArrow(_frequencies, "place int, df long").groupBy("place").agg(F.sum("df").alias("df")).collect()}
+    n = seen.pop(-1)
+    idf = np.log((1 + n) / (1 + np.array([seen[k] for k in range(FEATURES)], float))) + 1
+
+    def of_language(key, group):
+        group = group.sort_values("h")
+        own = scaled(np.array([unpacked(p, c) for p, c in zip(group["places"], group["counts"], strict=True)]), idf)
+        centres, limit = cluster(own)
+        made = [(key[0], k, *packed(c), limit) for k, c in enumerate(centres)]
+        return pd.DataFrame(made, columns=["lang", "k", "places", "weights", "limit"])
+
+    made = cut(vectors.groupBy("lang").applyInPandas(of_language, "lang string, k int, places binary, weights binary, limit double"), "centroids")
+    if made.count() * FEATURES * 4 > MODEL_BYTES:
+        raise ValueError("too many languages for a model in every worker")
+    found = made.orderBy("lang", "k").collect()
+    return CentroidModel(idf, np.array([unpacked(r["places"], r["weights"]) for r in found]), [r["lang"] for r in found], {r["lang"]: r["limit"] for r in found})
 
 
 def predict_languages(docs: DataFrame, model: CentroidModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
