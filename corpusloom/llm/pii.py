@@ -11,8 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.llm.shared import cut, small
-from corpusloom.llm.spans import SPAN, listed, matches, spans
+from corpusloom.llm.shared import apart, cut, restored, small
+from corpusloom.llm.spans import SPAN, free_of, listed, matches, replaced, spans
 
 #: Fixed by the contract. Runs that the first part could only leave are searched for from their first character, or from
 #: the end of the match before; the rest does not backtrack.
@@ -69,8 +69,7 @@ def entities(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     )
     out = out.select("doc_id", "_text", F.array_sort(found).cast(_FOUND).alias("base"))
     out = out.withColumn("_terms", F.when(F.size("base") > 0, matches(F.col("_text"), _LETTERS))).withColumn("_words", spans("_terms", "term", 4))
-    free = "filter(_words, w -> NOT exists(base, e -> w.start < e.end AND e.start < w.end))"
-    words = F.coalesce(F.when(F.size("base") > 0, F.expr(free)), F.expr(f"cast(array() as {_FOUND})")).cast(_FOUND)
+    words = F.coalesce(F.when(F.size("base") > 0, F.expr(free_of("_words", "base"))), F.expr(f"cast(array() as {_FOUND})")).cast(_FOUND)
     return cut(out.select(F.monotonically_increasing_id().alias("_row"), "doc_id", "base", words.alias("words")), "entities")
 
 
@@ -133,10 +132,7 @@ def sanitise(searched: DataFrame, docs: DataFrame, id_col: str = "doc_id", text_
 
     Of overlapping spans the one that starts first is replaced, and what the others have beyond it.
     """
-    marks = searched.select(F.col("doc_id").alias("_id"), F.col("spans").alias("_spans"))
-    joined = docs.join(marks, F.col(id_col).eqNullSafe(F.col("_id")), "left")
-    before = "coalesce(array_max(transform(slice(_spans, 1, i), y -> y.end)), 0)"
+    own, row_id, text = apart(docs, id_col, text_col)
+    joined = own.join(searched.select("doc_id", "spans"), F.col(row_id).eqNullSafe(F.col("doc_id")), "left")
     word = "CASE x.kind WHEN 'remove' THEN '' WHEN 'generalise' THEN '[TERM]' ELSE concat('[', upper(x.kind), ']') END"
-    pieces = F.expr(f"""concat(array_join(transform(_spans, (x, i) -> CASE WHEN x.start < {before} THEN '' ELSE concat(substring({text_col}, int(1 + {before}),
-        int(greatest(0, x.start - {before}))), {word}) END), ''), substring({text_col}, int(1 + coalesce(array_max(transform(_spans, y -> y.end)), 0))))""")
-    return joined.withColumn(text_col, F.when(F.size("_spans") > 0, pieces).otherwise(F.col(text_col))).select(*docs.columns)
+    return restored(joined.withColumn(text, F.when(F.size("spans") > 0, replaced(text, "spans", word)).otherwise(F.col(text))), docs)

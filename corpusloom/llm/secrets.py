@@ -9,8 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.llm.shared import cut, small
-from corpusloom.llm.spans import SPAN, listed, matches, spans
+from corpusloom.llm.shared import apart, cut, restored, small
+from corpusloom.llm.spans import SPAN, free_of, listed, matches, replaced, spans
 
 #: Fixed by the contract. A run of hex digits is only searched for from its first digit and if long enough.
 ASSIGN = r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -70,9 +70,10 @@ def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     each = found.where("size(found) > 0").select("_row", F.explode("found").alias("f")).withColumn("hash", F.sha2("f.value", 256))
     judged = each.join(small(verdicts), "hash").groupBy("_row").agg(F.array_sort(F.collect_list(F.struct("f.*", "example"))).alias("judged"))
     base = F.expr("filter(judged, x -> x.ord < 3)")
-    added = F.expr("filter(judged, x -> x.ord = 3 AND NOT x.example AND NOT exists(base, b -> b.start < x.end AND x.start < b.end))")
+    judged_span = f"{SPAN[:-1]},example:boolean>"
+    added = F.expr(free_of("filter(judged, x -> x.ord = 3 AND NOT x.example)", "base", judged_span))
     out = found.select("_row", "doc_id").join(judged, "_row", "left")
-    out = out.withColumn("judged", F.expr(f"coalesce(judged, cast(array() as array<{SPAN[:-1]},example:boolean>>))")).withColumn("base", base)
+    out = out.withColumn("judged", F.expr(f"coalesce(judged, cast(array() as array<{judged_span}>))")).withColumn("base", base)
     out = out.withColumn("spans", F.array_sort(F.concat("base", added)))
     count = lambda flag: F.expr(f"cast(size(filter(spans, x -> x.example = {flag})) as bigint)")
     return out.select("doc_id", "base", "spans", count("false").alias("live"), count("true").alias("example"))
@@ -85,9 +86,9 @@ def secret_digests(scanned: DataFrame) -> DataFrame:
 
 
 def mask_secrets(scanned: DataFrame, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """docs with every live-looking span of scan_secrets' result replaced by [SECRET], for tables with unique ids."""
-    live = scanned.select(F.col("doc_id").alias("_id"), F.expr("filter(spans, x -> NOT x.example)").alias("_spans"))
-    joined = docs.join(live, F.col(id_col).eqNullSafe(F.col("_id")), "left")
-    pieces = F.expr(f"""concat(array_join(transform(_spans, (x, i) -> concat(substring({text_col}, int(1 + if(i = 0, 0, _spans[i - 1].end)),
-        int(greatest(0, x.start - if(i = 0, 0, _spans[i - 1].end)))), '[SECRET]')), ''), substring({text_col}, int(1 + coalesce(try_element_at(_spans, -1).end, 0))))""")
-    return joined.withColumn(text_col, F.when(F.size("_spans") > 0, pieces).otherwise(F.col(text_col))).select(*docs.columns)
+    """docs with every live-looking span of scan_secrets' result replaced by [SECRET], for tables with unique ids. Spans that
+    overlap are replaced as one."""
+    live = scanned.select("doc_id", F.expr("filter(spans, x -> NOT x.example)").alias("spans"))
+    own, row_id, text = apart(docs, id_col, text_col)
+    joined = own.join(live, F.col(row_id).eqNullSafe(F.col("doc_id")), "left")
+    return restored(joined.withColumn(text, F.when(F.size("spans") > 0, replaced(text, "spans", "'[SECRET]'")).otherwise(F.col(text))), docs)
