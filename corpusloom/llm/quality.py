@@ -14,7 +14,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.llm.shared import WORD, cut, small
+from corpusloom.llm.shared import WORD, apart, cut, restored, small
 
 #: The classifier is fitted on about so many labelled documents at most, drawn by hash.
 SAMPLE = 4_000
@@ -66,7 +66,8 @@ def fit_evidence(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, id_co
     known = labels.where(F.col(label_col).isNotNull() & F.col("doc_id").isNotNull()).select(F.col("doc_id").alias("_id"), F.col(label_col).cast("int").alias("_label"))
     share = min(1.0, sample / max(1, known.count()))
     chosen = known.where(F.pmod(F.xxhash64("_id", F.lit("quality")), F.lit(1 << 30)) < int(share * (1 << 30))).limit(2 * sample)
-    rows = docs.join(F.broadcast(chosen), F.col(id_col) == F.col("_id")).select(features(F.col(text_col)).alias("x"), F.col("_label").alias("y")).limit(4 * sample).collect()
+    known_docs = docs.select(F.col(id_col).alias("doc"), F.col(text_col).alias("text"))
+    rows = known_docs.join(F.broadcast(chosen), F.col("doc") == F.col("_id")).select(features(F.col("text")).alias("x"), F.col("_label").alias("y")).limit(4 * sample).collect()
     y = np.array([r["y"] for r in rows], float)
     if len(set(y.tolist())) < 2:
         return NEUTRAL
@@ -140,11 +141,9 @@ def score_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", te
 def keep_good(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", path_cols: tuple[str, ...] = ("lang",)) -> DataFrame:
     """docs without the rows that score_quality would not keep, all columns kept; the same cases."""
     model = fit_evidence(docs, labels, id_col=id_col, text_col=text_col)
-    host, path = _sites(docs, source_col, path_cols)
-    evidence = model.probability(features(docs[text_col]))
-    sites, mean = site_posteriors(docs.select(host.alias("host"), path.alias("path"), evidence.alias("p")))
-    marks = sites.select("s", "k", "prior", "n", F.col("host").alias("_h"), F.col("path").alias("_p"))
-    own = {c: f"_own_{i}" for i, c in enumerate(docs.columns)}
-    renamed = docs.select(*(docs[c].alias(own[c]) for c in docs.columns), host.alias("_host"), path.alias("_path"), evidence.alias("_evidence"))
-    joined = renamed.join(small(marks), (F.col("_host") == F.col("_h")) & (F.col("_path") == F.col("_p")))
-    return joined.where(combined(F.col("_evidence"), mean) >= KEEP).select(*(F.col(own[c]).alias(c) for c in docs.columns))
+    own, text, source, *paths = apart(docs, text_col, source_col, *path_cols)
+    host, path = _sites(own, source, tuple(paths))
+    rows = cut(own.withColumns({"host": host, "path": path, "p": model.probability(features(F.col(text)))}), "scored")
+    sites, mean = site_posteriors(rows.select("host", "path", "p"))
+    joined = rows.join(small(sites), ["host", "path"])
+    return restored(joined.where(combined(F.col("p"), mean) >= KEEP), docs)
