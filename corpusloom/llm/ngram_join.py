@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.llm.components import components
-from corpusloom.llm.shared import caches, chunks, claim, cut, small
+from corpusloom.llm.shared import apart, caches, chunks, claim, cut, restored, small
 from corpusloom.shipping import ship
 
 WORDS, PERCENT = 5, 80
@@ -331,5 +331,6 @@ def drop_near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PER
     """docs with one row of each component, the one with its smallest id; all columns kept. Cases as in link_documents;
     rows whose id another row has too are one document."""
     linked = cut(link_documents(docs, words, percent, id_col, text_col), "linked")
-    gone = cut(linked.groupBy("doc_id").agg(F.max(F.col("doc_id") > F.col("component_id")).alias("gone")).where("gone").select(F.col("doc_id").alias("_id")), "gone")
-    return docs.join(small(gone), F.col(id_col) == F.col("_id"), "left_anti")
+    gone = cut(linked.groupBy("doc_id").agg(F.max(F.col("doc_id") > F.col("component_id")).alias("gone")).where("gone").select(F.col("doc_id").alias("gone_id")), "gone")
+    own, row_id = apart(docs, id_col)
+    return restored(own.join(small(gone), F.col(row_id).cast("long") == F.col("gone_id"), "left_anti"), docs)

@@ -3,7 +3,9 @@
 import hashlib
 import math
 import re
+import time
 import zlib
+from pathlib import Path
 
 import duckdb
 import numpy as np
@@ -13,8 +15,9 @@ import pyarrow.parquet as pq
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
-from corpusloom.llm import bpe, components, exact_dedup, language_id, media, mixing, ngram_join, pii, quality, queries, url_filter
+from corpusloom.llm import bpe, components, exact_dedup, language_id, media, mixing, ngram_join, pii, quality, queries, shared, spans, url_filter
 from corpusloom.llm import secrets as secret_scan
 
 SF = "/root/testdata/sf0.001"
@@ -49,6 +52,50 @@ def texts():
     return dict(zip(t["doc_id"].to_pylist(), t["text"].to_pylist(), strict=True))
 
 
+#: Names that the operators give to columns of their own.
+CLASHES = (
+    "row id _id _row digest _digest points _points _stays stays kept order norm ties n_points best_id group_size keep_id keep_points _hot _cold _key _zero _found _spread _salt _dealt bucket"
+    " ticket factor rate target weight source_size size copy _copy _mix _source seed spans _spans base found judged live example words term share gone gone_id _hash text_hash component"
+    " component_id own_0 own_3 host path p s k n prior evidence score keep out h least limit rule verdict"
+).split()
+
+
+def test_extra_columns_of_any_name(spark):
+    """Columns that are named like an operator's own come back as they were, also repeated names."""
+    made = [(i, t, "en", "s") for i, t in enumerate(["a b c d e f g", "a b c d e f g ", "x@y.org token=abcdef1", "zz", "zz", None])] + [(3, "zz", "en", "s")]
+    cells = [f"c{k}" for k in range(len(CLASHES))]
+    docs = spark.createDataFrame([(*r, *cells) for r in made], ["doc_id", "text", "lang", "source", *CLASHES])
+    twice = docs.select("*", F.lit("second").alias("own_1"), F.lit("second").alias("own_1"))
+    labels = spark.createDataFrame([(0, 1), (1, 0)], "doc_id long, quality int")
+    for table in [twice]:
+        for f in (exact_dedup.drop_duplicates, mixing.mix, ngram_join.drop_near_duplicates, lambda d: quality.keep_good(d, labels), lambda d: pii.sanitise(pii.find_personal(d), d), lambda d: secret_scan.mask_secrets(secret_scan.scan_secrets(d), d)):
+            out = f(table)
+            rows = out.collect()
+            assert out.columns == table.columns and rows and all([*r][4 : 4 + len(CLASHES)] == cells for r in rows)
+        assert exact_dedup.mark_duplicates(table).count() == 7 and quality.score_quality(table, labels).count() == 7
+    assert sorted(r[0] for r in exact_dedup.drop_duplicates(docs).collect()) == [1, 2, 3, 5]
+
+
+def test_hot_keys_are_dealt_out(spark, monkeypatch, tmp_path):
+    """A join that is too large to broadcast gives hot keys' rows to many tasks and loses none."""
+    rows = spark.range(3000).select(F.col("id"), F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("key"))
+    table = shared.cut(rows.where("key % 2 = 0").groupBy("key").agg(F.count(F.lit(1)).alias("n")).withColumn("word", F.concat(F.lit("w"), "key")), "test")
+    want = {r["id"]: (r["n"], r["word"]) for r in shared.matched(rows, "key", table, "n", 3000, F.col("id")).collect()}
+    monkeypatch.setattr(shared, "small", lambda df: df)
+    dealt = shared.matched(rows, "key", table, "n", 3000, F.col("id"))
+    assert {r["id"]: (r["n"], r["word"]) for r in dealt.collect()} == want and len(want) == 3000 and want[3] == (1000, "w0") and want[1] == (None, None)
+
+
+def test_storage(spark, tmp_path):
+    table = shared.cut(spark.range(5), "test")
+    assert table.count() == 5 and list(Path(table.cut_path).glob("*.parquet"))
+    shared.spent(table)
+    assert not Path(table.cut_path).exists()
+    wide = shared.cut(spark.range(3).select(F.repeat(F.lit("x"), 100).alias("t")), "test")
+    hinted = lambda df: "broadcast" in df._jdf.queryExecution().logical().toString().lower()
+    assert hinted(shared.small(wide)) and not hinted(shared.small(wide, most_bytes=299)) and not hinted(shared.small(wide, rows=2))
+
+
 # 1 media
 
 
@@ -154,6 +201,15 @@ def test_mixing_reaches_targets(spark):
         assert abs(r["sum(taken)"] - r["max(target)"]) < 0.05 * r["sum(size)"]
 
 
+def test_mixing_small_sources(spark):
+    """Sources of few, unequal texts and of null ids come as near their target as their texts allow."""
+    rng = np.random.default_rng(7)
+    docs = docs_of(spark, [(i if i % 12 else None, "w " * int(rng.integers(1, 900)), "en", f"s{i % 12:02}") for i in range(480)])
+    rows = mixing.plan_mix(docs).groupBy("source").agg(F.sum("taken").alias("taken"), F.max("target").alias("target"), F.max("size").alias("size")).collect()
+    assert len(rows) == 12 and all(abs(r["taken"] - r["target"]) < 0.03 * r["target"] for r in rows)
+    assert mixing.mix(docs).agg(F.sum(mixing.size_of(F.col("text")))).first()[0] == sum(r["taken"] for r in rows)
+
+
 # 4 n-gram join
 
 
@@ -359,6 +415,47 @@ def test_sanitise(spark):
     assert "Jonquil" not in clean[0] and "[EMAIL]" in clean[0] and "today" in clean[0] and clean[10] == rows[6][1]
 
 
+def test_running_folds(spark):
+    rng = np.random.default_rng(2)
+    arrays = [[], [5], *(rng.integers(-9, 100, n).tolist() for n in (63, 64, 65, 4096, 4097, 9000))]
+    df = spark.createDataFrame([(k, a) for k, a in enumerate(arrays)], "k int, a array<bigint>")
+    for r in df.select("k", F.expr(spans.running("a", "a + y")).alias("s"), F.expr(spans.running("a", "greatest(a, y)", "-100L")).alias("m")).collect():
+        assert r["s"] == np.cumsum(arrays[r["k"]]).tolist() and r["m"] == (np.maximum.accumulate(arrays[r["k"]]).tolist() if arrays[r["k"]] else [])
+
+
+def test_long_texts_take_seconds(spark):
+    """Two million characters with 50 000 addresses and secrets each."""
+    docs = docs_of(spark, [(1, "name of user a.b@c.de is known " * 60_000, "en", "s"), (2, "token=abcdef12 and key " * 50_000, "en", "s")])
+    started = time.monotonic()
+    assert {r["doc_id"]: r["n_email"] for r in pii.personal_digests(pii.find_personal(docs)).collect()} == {1: 60_000, 2: 0}
+    assert {r["doc_id"]: r["n_assign"] for r in secret_scan.secret_digests(secret_scan.scan_secrets(docs)).collect()} == {1: 0, 2: 50_000}
+    assert time.monotonic() - started < 120
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_overlaps_and_replacement_brute_force(spark, seed):
+    rng = np.random.default_rng(seed)
+    cases = []
+    for k in range(30):
+        n = int(rng.integers(1, 9000))
+        starts = sorted(rng.integers(0, n, int(rng.integers(0, 60))).tolist())
+        base = [(s, 0, "email", min(n, s + int(rng.integers(1, 80))), "v") for s in starts]
+        edges = sorted(set(rng.integers(0, n + 1, int(rng.integers(0, 200))).tolist()))
+        words = [(a, 4, "term", b, "w") for a, b in zip(edges, edges[1:], strict=False) if rng.random() < 0.7]
+        cases.append((k, "".join(rng.choice(list("ab\u00e9\U0001f600"), n)), base, words))
+    df = spark.createDataFrame(cases, f"k int, text string, base array<{spans.SPAN}>, words array<{spans.SPAN}>")
+    got = df.select("k", F.expr(spans.free_of("words", "base")).alias("free"), F.when(F.size("base") > 0, spans.replaced("text", "base", "'[X]'")).otherwise(F.col("text")).alias("out")).collect()
+    for r in got:
+        _, text, base, words = cases[r["k"]]
+        assert [tuple(w) for w in r["free"]] == [w for w in words if not any(w[0] < b[3] and b[0] < w[3] for b in base)]
+        out, at = "", 0
+        for b in base:
+            if b[0] >= at:
+                out += text[at : b[0]] + "[X]"
+            at = max(at, b[3])
+        assert r["out"] == out + text[at:]
+
+
 # 7 exact duplicates
 
 
@@ -368,6 +465,7 @@ def test_cuckoo_index():
     for k, key in enumerate(keys):
         assert index.find(key, str(k)) is None
         index.insert(key, str(k), k)
+    assert index.probes < 50  # what the filter does not know is not looked up
     assert index.resizes > 0 and all(index.find(key, str(k)) == k for k, key in enumerate(keys))
     assert all(index.delete(k) for k in keys[::2]) and not index.delete(keys[0])
     assert [index.find(k, str(n)) is None for n, k in enumerate(keys)] == [n % 2 == 0 for n in range(5000)]
@@ -389,6 +487,25 @@ def test_index_ends_between_buckets(monkeypatch):
     assert groups(200) == groups(3) == whole
 
 
+def test_live_digests_are_replaced(monkeypatch):
+    """A later, longer row takes the place of a live one: its digest is deleted and inserted again."""
+    deleted = []
+    real = exact_dedup.CuckooIndex.delete
+    monkeypatch.setattr(exact_dedup.CuckooIndex, "delete", lambda self, key: deleted.append(key) or real(self, key))
+    rows = [(0, b"k" * 32, "t", 3, 5, 1, 1), (0, b"k" * 32, "t", 9, 7, 1, 2), (0, b"k" * 32, "t", 9, 6, 1, 1), (0, b"k" * 32, "t", 9, 6, 2, 2), (0, b"k" * 32, "t", 1, 1, 1, 1)]
+    batch = pa.record_batch([*map(pa.array, zip(*rows, strict=True))], names=("bucket", "digest", "norm", "n_points", "best_id", "ties", "n"))
+    assert [tuple(r.values()) for b in exact_dedup._merge(iter([batch])) for r in b.to_pylist()] == [(b"k" * 32, 9, 6, 3, 7)] and len(deleted) == 2
+
+
+def test_equal_rows_one_stays(spark):
+    """Of rows that are equal in id and code points one stays, whatever the order of the rows."""
+    rows = [(1, "a b", "en", "x"), (1, "ab ", "de", "x"), (1, "a b", "en", "y"), (1, "a b", "en", "x"), (2, "ab", "en", "z"), (None, "q", "en", "x"), (None, "q", "en", "x")]
+    kept = [sorted(map(str, (tuple(r) for r in exact_dedup.drop_duplicates(docs_of(spark, order).repartition(n)).collect()))) for order, n in ((rows, 1), (rows[::-1], 3), (rows[3:] + rows[:3], 2))]
+    assert kept[0] == kept[1] == kept[2] and len(kept[0]) == 2
+    marked = [r["kept"] for r in exact_dedup.mark_duplicates(docs_of(spark, rows)).collect()]
+    assert sum(marked) == 2 and len(marked) == 7
+
+
 def test_exact_dedup_sql(spark, edge, empty):
     extra = docs_of(spark, [(20, "a b", "en", "x"), (21, "ab ", "en", "x"), (19, "a  b", "en", "x"), (22, " a b", "en", "x"), (22, " a b", "en", "x"), (30, "ab\u00a0", "en", "x")])
     for docs in (edge, empty, extra, extra.unionByName(edge)):
@@ -457,10 +574,47 @@ def test_urls_sql(spark):
     assert url_filter.judge(pages.limit(0)).count() == 0
 
 
+def brute_verdict(url, rules):
+    host, path = url_filter.split_url(url)
+    fits = {}
+    for verdict, h, p in rules:
+        if h and (not p or p[0] == "/") and host and (host == h or host.endswith("." + h)) and path.startswith(p):
+            fits[len(h + p), len(h), h + p] = "block" if "block" in (verdict, fits.get((len(h + p), len(h), h + p))) else "allow"
+    return (max(fits)[2], fits[max(fits)]) if fits else (None, "allow")
+
+
+def test_both_judges_agree(spark):
+    """Random rules with ties, repeats, both verdicts and paths that cannot fit, against a plain loop."""
+    rng = np.random.default_rng(11)
+    name = lambda n: ".".join(rng.choice(["a", "b", "com", "x"], n))
+    some_path = lambda: rng.choice(["", "/", "/x", "/xy", "/xy1", "m/", "/x/y"])
+    rules = [(str(rng.choice(["block", "allow"])), name(int(rng.integers(1, 4))), str(some_path())) for _ in range(60)] + [("block", "a.com", "/xy"), ("allow", "com", "/xy12"), ("block", "", "/x")]
+    urls = [f"http://{name(int(rng.integers(1, 6)))}{some_path()}{rng.choice(['', '2', '?q', '#f'])}" for _ in range(200)] + ["http://a.com/xy123", "http://.com/x", "http://com./x", "http://co/m/x", None, "x"]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    want = [brute_verdict(u, rules) for u in urls]
+    joined = url_filter.judge_joined(pages, spark.createDataFrame([*rules, (None, "a", "/x"), ("block", None, "")], "verdict string, host string, path string"))
+    for got in (url_filter.judge(pages, rules), joined):
+        rows = {r["page_id"]: (r["rule"], r["verdict"]) for r in got.collect()}
+        assert [rows[k] for k in range(len(urls))] == want
+    assert rows[200] == ("a.com/xy", "block") and url_filter.judge(pages, []).where("rule IS NOT NULL OR verdict <> 'allow'").count() == 0
+
+
+def test_very_long_urls(spark):
+    """Hosts of 100 000 labels and paths of a million characters take seconds."""
+    urls = ["http://" + "a." * 100_000 + "example.com/en/7", "http://org/es/" + "x" * 1_000_000, "http://" + "." * 100_000]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    rules = spark.createDataFrame(list(url_filter.RULES), "verdict string, host string, path string")
+    started = time.monotonic()
+    for got in (url_filter.judge(pages), url_filter.judge_joined(pages, rules)):
+        assert {r["page_id"]: r["rule"] for r in got.select("page_id", "rule").collect()} == {0: "example.com/en/7", 1: "org/es/", 2: None}
+    assert time.monotonic() - started < 60
+
+
 def test_url_index_confirms_strings(tmp_path, monkeypatch):
     monkeypatch.setattr(url_filter.xxhash, "xxh64_intdigest", lambda s: len(s))
     (tmp_path / "i").write_bytes(url_filter.build_index([("block", "a.com", "/x"), ("allow", "b.com", "/x"), ("block", "c.com", "/xyz")]))
     index = url_filter.DigestIndex(tmp_path / "i")
+    assert index.labels == [2] and index.lengths == [2, 4]
     found = index.find(["a.com/x", "b.com/x", "d.com/x", "c.com/xyz", "zzz"])
     assert [f >= 0 for f in found] == [True, True, False, True, False] and [bool(index.blocks[f]) for f in found if f >= 0] == [True, False, True]
 
@@ -478,7 +632,38 @@ def test_languages(spark, edge, empty):
     got = {r["doc_id"]: r for r in language_id.predict_languages(edge, model).collect()}
     assert [got[k]["lang_pred"] for k in (1, 2, 3, 9)] == ["und"] * 4 and got[4]["lang_pred"] != "und"
     assert language_id.predict_languages(empty, model).count() == 0
-    assert language_id.fit(empty).predict("text") == ("und", 0.0, True)
+    assert language_id.fit(empty).predict("text") == ("und", 0.0, True) and language_id.fit(edge).languages
+
+
+def test_nearest_centroid_brute_force():
+    """Cosines of hashed n-grams against plain loops over the same vectors."""
+    rng = np.random.default_rng(3)
+    texts = ["".join(rng.choice(list(alphabet), 80)) for alphabet in ("abcde ", "efgh ", "ijkl ") for _ in range(9)]
+    counts = np.array([language_id.vector(t) for t in texts])
+    idf = np.log((1 + len(texts)) / (1 + (counts > 0).sum(axis=0))) + 1
+    centres = [language_id.cluster(language_id.scaled(counts[k : k + 9], idf)) for k in (0, 9, 18)]
+    names = [n for n, (c, _) in zip("xyz", centres, strict=True) for _ in c]
+    model = language_id.CentroidModel(idf, np.concatenate([c for c, _ in centres]), names, {n: limit for n, (_, limit) in zip("xyz", centres, strict=True)})
+    for text in [*texts[::4], "abab cdcd", "ijij 12 kl"]:
+        values = [math.log1p(c) * w for c, w in zip(language_id.vector(text), idf, strict=True)]
+        norm = math.sqrt(sum(v * v for v in values))
+        cosines = [sum(v * float(w) for v, w in zip(values, row, strict=True)) / norm for row in model.centroids]
+        lang, score, far = model.predict(text)
+        assert lang == names[int(np.argmax(cosines))] and score == pytest.approx(max(cosines), abs=1e-5) and far == (1 - score > model.limits[lang])
+    assert language_id.vector("Ab, 12 ab!\n").tolist() == language_id.vector("ab ab").tolist()
+    assert all(np.linalg.norm(c, axis=1) == pytest.approx(1, abs=1e-5) for c, _ in centres)
+
+
+def test_every_language_is_learned(spark):
+    """1200 languages and more, some of one document or of one repeated document, and a hot one."""
+    words = lambda k: f"{chr(0x4E00 + k)}{chr(0x4E00 + k)} {chr(0x4E00 + k)} word"
+    rows = [(k, words(k % 1600), f"l{k % 1600:04}", "s") for k in range(3200)] + [(None, words(5), "l0005", "s")] * 50 + [(9, None, "none", "s"), (10, "12", "digits", "s"), (11, "text", None, "s")]
+    docs = docs_of(spark, rows).where("crc32(cast(cast(doc_id as string) as binary)) % 4 <> 2 OR doc_id IS NULL")
+    learned = {r["lang"] for r in docs.where("text RLIKE '[a-z]' AND lang IS NOT NULL").select("lang").collect()}
+    model = language_id.fit(docs)
+    assert set(model.languages) == learned and len(learned) > 1200
+    got = {r["doc_id"]: r["lang_pred"] for r in language_id.predict_languages(docs.where("doc_id < 1600"), model).collect()}
+    assert np.mean([got[k] == f"l{k:04}" for k in got if k not in (9, 10, 11)]) > 0.99
 
 
 # pipeline
