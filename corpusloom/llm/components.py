@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.llm.shared import cut
+from corpusloom.llm.shared import cut, spent
 
 
 def components(links: DataFrame, rounds: int = 60) -> DataFrame:
@@ -26,6 +26,7 @@ def components(links: DataFrame, rounds: int = 60) -> DataFrame:
         small_star = joined.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(joined.select("u", F.col("m").alias("v"))).where("u <> v").distinct()
         now = cut(small_star, "edges")
         same = now.count() == edges.count() and now.join(edges, ["u", "v"], "left_anti").isEmpty()
+        spent(large, edges)
         edges = now
         if same:
             break

@@ -212,11 +212,10 @@ def _stays(row_id: str) -> Column:
     return F.col("group_size").isNull() | (F.col(row_id).eqNullSafe(F.col("keep_id")) & (F.col("points") == F.col("keep_points")))
 
 
-def _groups_of_two(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, int, bool]:
-    """The groups of two rows or more, the number of rows in them, and whether some of them have ties."""
+def _groups_of_two(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, bool]:
+    """The groups of two rows or more, and whether some of them have ties."""
     groups = cut(duplicate_groups(docs, id_col, text_col).where("group_size > 1"), "groups")
-    found = groups.agg(F.sum("group_size"), F.max("ties")).first()
-    return groups, found[0] or 0, (found[1] or 0) > 1
+    return groups, not groups.where("ties > 1").isEmpty()
 
 
 def mark_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -227,9 +226,9 @@ def mark_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     rows give none; columns other than the two named are not read. Only groups of two or more are joined to the rows; a hot
     group's rows are dealt to many tasks.
     """
-    groups, in_groups, ties = _groups_of_two(docs, id_col, text_col)
+    groups, ties = _groups_of_two(docs, id_col, text_col)
     rows = _keyed(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")), "text").withColumn("order", F.xxhash64("text"))
-    marked = matched(rows.drop("text"), "digest", groups, "group_size", in_groups, F.xxhash64("doc_id", "order")).withColumn("kept", _stays("doc_id"))
+    marked = matched(rows.drop("text"), "digest", groups, "group_size", F.xxhash64("doc_id", "order")).withColumn("kept", _stays("doc_id"))
     if ties:
         numbered = cut(marked.withColumn("row", F.monotonically_increasing_id()), "marked")
         first = numbered.where("kept AND ties > 1").groupBy("digest").agg(F.min(F.struct("order", "row"))["row"].alias("row")).select("row", F.lit(True).alias("first"))
@@ -246,9 +245,9 @@ def drop_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     all its columns. Only groups of two or more are joined to the documents, so texts move only if there are more than
     BROADCAST_ROWS such.
     """
-    groups, in_groups, ties = _groups_of_two(docs, id_col, text_col)
+    groups, ties = _groups_of_two(docs, id_col, text_col)
     own, row_id, text = apart(docs, id_col, text_col)
-    joined = matched(_keyed(own, text), "digest", groups, "group_size", in_groups, F.xxhash64(row_id, text))
+    joined = matched(_keyed(own, text), "digest", groups, "group_size", F.xxhash64(row_id, text))
     left = joined.where(_stays(row_id))
     if not ties:
         return restored(left, docs)

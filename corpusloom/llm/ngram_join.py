@@ -1,21 +1,24 @@
 """Operator 4, n-gram Jaccard join with adaptive multi-match prefixes.
 
 Two sets are linked if 100 * intersection >= percent * union. Sets are sorted by a hash order; two linked sets share at
-least l tokens in their prefixes of n - ceil(percent * n / 100) + l tokens. So:
+least l tokens in their prefixes of n - needed + l tokens, where needed = ceil(percent * n / 100). So:
 
 1. Equal sets are one class; only classes are compared.
 2. A class's prefix is lengthened by l (see shared_needed). Tokens of prefixes that one class alone has can't match, so a class
    with fewer than l other tokens has no partner and is done: most documents leave here.
-3. Of the l shared tokens, the first k by (frequency, token) lie among the prefix's p - l + k rarest. k is chosen for each
-   class by the estimated cost of its candidates: each further match needs one more, more frequent token, and leaves fewer
-   candidates to verify. Pairs need the smaller k of both.
-4. A class goes to its home, the most frequent of these tokens, where all are compared in blocks by counting common tokens;
-   a block tells only the links that join its components. Large homes are cut into blocks and pairs of blocks.
-5. Classes of tokens whose classes are of several components and homes then go to the HOMES most frequent of these tokens.
-6. What is left are pairs that share tokens, but neither a home nor a component. Of each token the classes outside its
-   largest component are joined to the others; pairs must share k tokens, and are verified alone.
-
-No step caps a bucket or drops a pair; whole sets are compared by 64-bit hashes of their shingles.
+3. Of the l shared tokens, the first k by (frequency, token) lie among the prefix's p - l + k rarest, which are kept. k is
+   chosen for each class by the estimated cost of its candidates: each further match needs one more, more frequent token, and
+   leaves fewer candidates to verify. Pairs must share the smaller k of both before they are verified, wherever they meet.
+4. A class goes to its home, the most frequent of these tokens. A small home compares all its classes; a large one, in this
+   round, all with a block of pivots. A task tells only the links that join its components.
+5. Then classes go to large homes again and, for tokens whose classes are of several components and homes, to the HOMES most
+   frequent of these. Of each token, classes outside its largest component are compared with all of other components, in
+   blocks: a group of near copies costs about its size, not its square.
+6. What is left are pairs that share tokens, but neither a home nor a component. Tokens with more than PAIRS of them are
+   compared as in 5; of the others, classes outside the largest component are joined to the others.
+
+No step caps a bucket or drops a pair; whole sets are compared by 64-bit hashes of their shingles. Joins by token and by
+component deal the rows of hot ones to many tasks.
 """
 
 from __future__ import annotations
@@ -30,18 +33,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.llm.components import components
-from corpusloom.llm.shared import apart, caches, chunks, claim, cut, restored, small
+from corpusloom.llm.shared import apart, caches, chunks, claim, cut, matched, restored, small, spent
 from corpusloom.shipping import ship
 
 WORDS, PERCENT = 5, 80
-#: Prefixes are lengthened by at least so many tokens (or a twentieth of the set).
-LENGTHEN = 32
+#: Prefixes are lengthened by at least so many tokens (or one in SIXTEENTH of what is needed).
+LENGTHEN, SIXTEENTH = 32, 16
 #: Most matches that a class may require of its candidates before they are verified.
 MATCHES = 3
 #: Members and tokens of a block.
 BLOCK_ROWS, BLOCK_TOKENS = 512, 300_000
-#: Homes of a class in the second round.
-HOMES = 4
+#: Homes of a class in the second round, and most pairs of a token that are joined and not compared in blocks.
+HOMES, PAIRS = 4, 250_000
 _CACHE = 80_000
 _U = np.uint64
 
@@ -85,8 +88,9 @@ def _needed(n: int, percent: int) -> int:
 
 
 def shared_needed(n: int, percent: int) -> int:
-    """l: tokens that linked sets share in their prefixes, by set size; grows with n."""
-    return min(_needed(n, percent), max(LENGTHEN, -(-n // 20)))
+    """l: tokens that linked sets share in their prefixes, by set size. It never grows faster than what is needed, so that linked
+    sets share the larger l of both."""
+    return min(_needed(n, percent), max(LENGTHEN, -(-_needed(n, percent) // SIXTEENTH)))
 
 
 def _sql_needed(n: str, percent: int) -> str:
@@ -94,7 +98,8 @@ def _sql_needed(n: str, percent: int) -> str:
 
 
 def _sql_shared(n: str, percent: int) -> str:
-    return f"least({_sql_needed(n, percent)}, greatest({LENGTHEN}, (({n}) + 19) div 20))"
+    needed = _sql_needed(n, percent)
+    return f"least({needed}, greatest({LENGTHEN}, ({needed} + {SIXTEENTH - 1}) div {SIXTEENTH}))"
 
 
 def _prefixes(words: int, percent: int):
@@ -162,43 +167,48 @@ def _stars(linked: np.ndarray) -> list[tuple[int, int]]:
     return out
 
 
-def linked_in_block(left: list[tuple[int, np.ndarray]], right: list[tuple[int, np.ndarray]] | None, percent: int) -> list[tuple[int, int]]:
-    """The components that links within a block, or between two blocks, make: pairs of a first node and another."""
-    other = left if right is None else right
-    both = common_counts([t for _, t in left], [t for _, t in other])
-    size_a, size_b = (np.array([len(t) for _, t in x], np.float64) for x in (left, other))
-    linked = 100.0 * both >= percent * (size_a[:, None] + size_b[None, :] - both)
-    nodes = [n for n, _ in left]
-    if right is not None:  # links within either block are found in tasks of their own
-        nodes += [n for n, _ in right]
-        a, b = linked.shape
-        linked = np.block([[np.zeros((a, a), bool), linked], [linked.T, np.zeros((b, b), bool)]])
-    return [(nodes[x], nodes[y]) for x, y in _stars(linked) if nodes[x] != nodes[y]]
-
-
-def _block_links(percent: int):
-    def links(key: tuple | None, rows: list[tuple]) -> list[tuple[int, int]]:
-        if key is None or len(rows) < 2:
-            return []
-        first = [(n, np.frombuffer(t, _U)) for b, n, t in rows if b == key[1]]
-        if key[1] == key[2]:
-            return linked_in_block(first, None, percent)
-        return linked_in_block(first, [(n, np.frombuffer(t, _U)) for b, n, t in rows if b == key[2]], percent)
+def linked_in_task(rows: list[tuple], percent: int) -> list[tuple[int, int]]:
+    """The components that links between the left and the right rows make: pairs of a first node and another.
+
+    rows are (node, k, kept, component, tokens, left, right). Pairs of different components that share the smaller k of both
+    among their kept tokens are verified.
+    """
+    sides = [[r for r in rows if r[at]] for at in (5, 6)]
+    if not all(sides):
+        return []
+    kept = [[np.unique(np.asarray(r[2], np.int64)).view(_U) for r in side] for side in sides]
+    k, component = ([np.array([r[at] for r in side], np.int64) for side in sides] for at in (1, 3))
+    asked = (common_counts(*kept) >= np.minimum.outer(*k)) & np.not_equal.outer(*component)
+    first, second = np.flatnonzero(asked.any(axis=1)), np.flatnonzero(asked.any(axis=0))
+    if not len(first):
+        return []
+    chosen = [[side[x] for x in at.tolist()] for side, at in zip(sides, (first, second), strict=True)]
+    tokens = [[np.frombuffer(r[4], _U) for r in side] for side in chosen]
+    both, sizes = common_counts(*tokens), [np.array([len(t) for t in side], np.float64) for side in tokens]
+    linked = asked[np.ix_(first, second)] & (100.0 * both >= percent * (np.add.outer(*sizes) - both))
+    nodes, place = np.unique([r[0] for side in chosen for r in side], return_inverse=True)
+    joined = np.zeros((len(nodes), len(nodes)), bool)
+    joined[np.ix_(place[: len(first)], place[len(first) :])] = linked
+    return [(int(nodes[x]), int(nodes[y])) for x, y in _stars(joined | joined.T)]
+
+
+def _task_links(percent: int):
+    names = ("home", "i", "j", "node", "k", "kept", "component", "tokens", "l", "r")
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Rows of one task (home, low, high) stand together; each is done when the next begins."""
+        """Rows of one task (home, i, j) stand together; each is done when the next begins."""
         claim("ngram")
         key, held, out = None, [], []
         for batch in batches:
-            for home, low, high, block, node, tokens in zip(*(batch.column(c).to_pylist() for c in ("home", "low", "high", "block", "node", "tokens")), strict=True):
-                if (home, low, high) != key:
-                    out += links(key, held)
-                    key, held = (home, low, high), []
-                held.append((block, node, tokens))
+            for home, i, j, *row in zip(*(batch.column(c).to_pylist() for c in names), strict=True):
+                if (home, i, j) != key:
+                    out += linked_in_task(held, percent)
+                    key, held = (home, i, j), []
+                held.append(tuple(row))
             if len(out) > 10_000:
                 yield _pairs(out)
                 out = []
-        out += links(key, held)
+        out += linked_in_task(held, percent)
         yield _pairs(out)
 
     return rows
@@ -232,7 +242,7 @@ def _kept_prefixes(prefixes: DataFrame, percent: int) -> DataFrame:
     postings = prefixes.select("node", F.explode("prefix").alias("token"))
     frequent = postings.groupBy("token").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
     others = postings.join(frequent, "token").groupBy("node").agg(F.sort_array(F.collect_list(F.struct("df", "token"))).alias("found"))
-    least = _sql_shared(_sql_needed("n", percent), percent)
+    least = _sql_shared("n", percent)
     sized = prefixes.select("node", "n", F.expr(f"int(n - {_sql_needed('n', percent)} + {_sql_shared('n', percent)})").alias("p"))
     live = sized.join(others, "node").withColumn("l", F.expr(least).cast("int")).where("size(found) >= l")
     # candidates are scanned once for each posting, and verified at a cost of about n once for every k matches
@@ -244,93 +254,154 @@ def _kept_prefixes(prefixes: DataFrame, percent: int) -> DataFrame:
     return best.select("node", "n", "k", F.expr(f"slice(found, 1, int({length('k')}))").alias("tokens")).where("size(tokens) > 0")
 
 
+def _blocks(rows: str, weight: str) -> Column:
+    return F.greatest(F.ceil(F.col(rows) / BLOCK_ROWS), F.ceil(F.col(weight) / BLOCK_TOKENS)).cast("int")
+
+
 def _buckets(postings: DataFrame) -> DataFrame:
     """token, size and blocks of the tokens that several classes have. postings has token and n."""
     sizes = postings.groupBy("token").agg(F.count(F.lit(1)).alias("size"), F.sum("n").alias("weight")).where("size > 1")
-    return sizes.select("token", "size", F.greatest(F.ceil(F.col("size") / BLOCK_ROWS), F.ceil(F.col("weight") / BLOCK_TOKENS)).cast("int").alias("blocks"))
+    return sizes.select("token", "size", _blocks("size", "weight").alias("blocks"))
 
 
 def _several(state: DataFrame) -> DataFrame:
-    """The tokens whose classes are of more than one component and more than one home."""
-    ends = state.groupBy("token").agg(F.min("component").alias("c0"), F.max("component").alias("c1"), F.min("home").alias("h0"), F.max("home").alias("h1"))
-    return ends.where("c0 <> c1 AND h0 <> h1").select("token")
-
-
-def _compared(sets: DataFrame, homes: DataFrame, percent: int) -> DataFrame:
-    """Links (a, b) that join the components of each home's classes. homes, a written table, has node, home and its number of
-    blocks."""
-    placed = sets.join(small(homes), "node").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    tasks = placed.withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)"))).select("home", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "node", "tokens")
+    """The tokens whose classes are of more than one component and more than one home, and the number of these classes."""
+    ends = state.groupBy("token").agg(F.min("component").alias("c0"), F.max("component").alias("c1"), F.min("home").alias("h0"), F.max("home").alias("h1"), F.count(F.lit(1)).alias("m"))
+    return ends.where("c0 <> c1 AND h0 <> h1").select("token", "m")
+
+
+def _shapes(groups: DataFrame) -> DataFrame:
+    """home, m and its largest component, main, with u, the classes outside it, and blocks of both; of homes of several
+    components. groups has home, n, component."""
+    parts = groups.groupBy("home", "component").agg(F.count(F.lit(1)).alias("m"), F.sum("n").alias("w"))
+    whole = parts.groupBy("home").agg(F.sum("m").alias("m"), F.sum("w").alias("w"), F.max(F.struct("m", "w", "component")).alias("main"), F.count(F.lit(1)).alias("several")).where("several > 1")
+    rest = whole.withColumns({"u": F.col("m") - F.col("main.m"), "v": F.col("w") - F.col("main.w")})
+    return rest.select("home", "m", "u", F.col("main.component").alias("main"), _blocks("m", "w").alias("blocks"), _blocks("u", "v").alias("left_blocks"))
+
+
+def _against_main(groups: DataFrame, shapes: DataFrame) -> DataFrame:
+    """The classes of groups (node, home, component) as _compared() takes them: those outside the main component are left."""
+    placed = matched(groups, "home", shapes, "m", F.col("node")).where("main IS NOT NULL")
+    return placed.select("node", "home", "component", (F.col("component") != F.col("main")).alias("left"), "left_blocks", "blocks")
+
+
+def _compared(sets: DataFrame, placed: DataFrame, kept: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) that join components of each home's classes. placed has node, home, component, whether it is compared with
+    all classes of its home (left), and numbers of left blocks and of blocks."""
+    placed = cut(placed.join(kept.select("node", "k", F.col("tokens.token").alias("kept")), "node"), "placed")
+    rows = sets.join(small(placed), "node").withColumns({"own_i": F.pmod(F.xxhash64("node", F.lit(1)), "left_blocks").cast("int"), "own_j": F.pmod(F.xxhash64("node"), "blocks").cast("int")})
+    as_left = "if(left, transform(sequence(0, blocks - 1), j -> struct(own_i as i, j as j, true as l, j = own_j as r)), array())"
+    as_right = "transform(filter(sequence(0, left_blocks - 1), i -> NOT left OR i <> own_i), i -> struct(i as i, own_j as j, false as l, true as r))"
+    tasks = rows.withColumn("task", F.explode(F.expr(f"concat({as_left}, {as_right})"))).select("home", "task.*", "node", "k", "kept", "component", "tokens")
     parts = int(sets.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return cut(tasks.repartition(parts, "home", "low", "high").sortWithinPartitions("home", "low", "high").mapInArrow(_block_links(percent), "a long, b long"), "links")
+    found = cut(tasks.repartition(parts, "home", "i", "j").sortWithinPartitions("home", "i", "j").mapInArrow(_task_links(percent), "a long, b long"), "links")
+    spent(placed)
+    return found
 
 
-def link_documents(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per row of docs: doc_id, n_shingles, component_id (smallest doc_id of its component), class_size (rows with an
-    equal set).
-
-    Letters A-Z are compared in lower case; words are what ASCII white space leaves. Null texts and texts without words
-    have no shingles and no links; each such row is its own component. Rows with equal sets are linked whatever their ids;
-    a null id does not count as smallest unless there is no other. An empty table gives no rows; only id and text are read.
-    """
+def _linked(docs: DataFrame, words: int, percent: int, id_col: str, text_col: str) -> DataFrame:
+    """link_documents() with row (a number of its own), text_hash and component (null for rows that are alone)."""
     spark = docs.sparkSession
     ship(spark)
     made = docs.select(*_identity(docs, id_col, text_col)).mapInArrow(_prefixes(words, percent), "doc_id long, text_hash long, n long, key binary, prefix array<long>")
     rows = cut(made.withColumn("row", F.monotonically_increasing_id()), "prefixes")
     grouped = rows.where("n > 0").groupBy("key").agg(F.first("n").alias("n"), F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("class_size"), F.min(F.struct("row", "doc_id", "text_hash")).alias("one"))
     classes = cut(grouped.select("key", "n", "least", "class_size", F.col("one.row").alias("node"), F.col("one.doc_id").alias("_id"), F.col("one.text_hash").alias("_hash")), "classes")
-    copied = cut(classes.where("class_size > 1").select("key", "node"), "copied")
-    copies = cut(rows.select("key", "row").join(small(copied), "key").where("row <> node").select("row"), "copies")
+    copied = cut(classes.where("class_size > 1").select("key", "node", "class_size"), "copied")
+    copies = cut(matched(rows.select("key", "row"), "key", copied, "class_size", F.col("row")).where("row <> node").select("row"), "copies")
     prefixes = rows.where("n > 0").select(F.col("row").alias("node"), "n", "prefix").join(small(copies), F.col("node") == F.col("row"), "left_anti")
     kept = cut(_kept_prefixes(prefixes, percent), "kept")
     postings = kept.select("node", "n", "k", F.explode("tokens").alias("t")).select("node", "n", "k", "t.token")
-    active = cut(postings.join(_buckets(postings), "token"), "postings")
-    homes = cut(active.groupBy("node").agg(F.max(F.struct("size", "token", "blocks")).alias("h")).select("node", F.col("h.token").alias("home"), "h.blocks"), "homes")
+    buckets = cut(_buckets(postings), "buckets")
+    active = cut(matched(postings, "token", buckets, "size", F.col("node")).where("size IS NOT NULL"), "postings")
+    homes = cut(active.groupBy("node").agg(F.first("n").alias("n"), F.max(F.struct("size", "token", "blocks")).alias("h")).select("node", "n", F.col("h.token").alias("home"), "h.blocks"), "homes")
     # the sets of the classes that may have partners, from one document of each
-    chosen = cut(classes.join(small(homes), "node", "left_semi").select("node", "_id", "_hash"), "chosen")
+    chosen = cut(classes.join(small(homes.select("node")), "node", "left_semi").select("node", "_id", "_hash"), "chosen")
     texts = docs.select(*_identity(docs, id_col, text_col)).join(small(chosen), F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_hash") == F.col("_hash")))
     sets = cut(texts.select("node", "text").mapInArrow(_sets(words), "node long, tokens binary"), "sets")
     if sets.count() > chosen.count():  # rows that are equal in id and text
         sets = cut(sets.dropDuplicates(["node"]), "sets")
-    links = _compared(sets, homes, percent)
+    # small homes as a whole, large ones against their first block
+    pivot = F.pmod(F.xxhash64("node"), F.col("blocks")) == 0
+    links = _compared(sets, homes.select("node", "home", F.col("node").alias("component"), pivot.alias("left"), F.lit(1).alias("left_blocks"), "blocks"), kept, percent)
     found = components(links)
-    # classes whose tokens lead to more than one component and home
-    state = active.join(homes.select("node", "home"), "node").join(found, "node", "left").select("token", "node", "n", "k", "home", F.coalesce("component", "node").alias("component"))
-    open_ = cut(state.join(_several(state), "token"), "open")
-    ranked = open_.join(_buckets(open_), "token").groupBy("node").agg(F.slice(F.sort_array(F.collect_list(F.struct("size", "token", "blocks")), asc=False), 1, HOMES).alias("h"))
-    ranked = cut(ranked.select("node", F.sort_array("h.token").alias("homes"), "h"), "second-homes")
-    second = cut(ranked.select("node", F.explode("h").alias("h")).select("node", F.col("h.token").alias("home"), "h.blocks"), "second")
-    links = links.unionByName(_compared(sets, second, percent))
+    # large homes, and classes whose tokens lead to more than one component and home
+    known = cut(homes.join(found, "node", "left").withColumn("component", F.coalesce("component", "node")), "known")
+    state = active.join(known.select("node", "home", "component"), "node").select("token", "node", "n", "k", "home", "component")
+    several = cut(_several(state), "several")
+    open_ = cut(matched(state, "token", several, "m", F.col("node")).where("m IS NOT NULL").drop("m"), "open")
+    sized = cut(_buckets(open_), "sizes")
+    ranked = matched(open_, "token", sized, "size", F.col("node")).groupBy("node").agg(F.slice(F.sort_array(F.collect_list(F.struct("size", "token")), asc=False), 1, HOMES).alias("h"), F.first("n").alias("n"), F.first("component").alias("component"))
+    ranked = cut(ranked.select("node", "n", "component", F.sort_array("h.token").alias("homes")), "second-homes")
+    again = ranked.select("node", F.explode("homes").alias("home"), "n", "component").unionByName(known.where("blocks > 1").select("node", "home", "n", "component"))
+    again = cut(again.distinct(), "second")
+    shapes = cut(_shapes(again), "shapes")
+    links = links.unionByName(_compared(sets, _against_main(again, shapes), kept, percent))
+    spent(again, shapes, several, sized)
     found = components(links)
     # pairs that no home has compared
     state = open_.drop("component").join(ranked.select("node", "homes"), "node").join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    left = cut(state.join(_several(state), "token"), "left")
-    shares = left.groupBy("token", "component").agg(F.count(F.lit(1)).alias("m")).groupBy("token").agg(F.max_by("component", F.struct("m", "component")).alias("main"))
+    several = cut(_several(state), "several")
+    left = cut(matched(state, "token", several, "m", F.col("node")).where("m IS NOT NULL").drop("m"), "left")
+    shapes = cut(_shapes(left.select(F.col("token").alias("home"), "n", "component")), "shapes")
+    heavy = cut(shapes.where(F.col("u") * F.col("m") > PAIRS), "heavy")
+    if not heavy.isEmpty():
+        links = links.unionByName(_compared(sets, _against_main(left.select("node", F.col("token").alias("home"), "n", "component"), heavy), kept, percent))
+    light = cut(shapes.where(F.col("u") * F.col("m") <= PAIRS).select(F.col("home").alias("token"), "main", "m"), "light")
+    few = matched(left, "token", light, "m", F.col("node")).where("main IS NOT NULL")
     columns = ("node", "n", "k", "component", "home", "homes")
-    x = left.join(shares, "token").where(F.col("component") != F.col("main")).select("token", "main", *(F.col(c).alias(f"x_{c}") for c in columns))
-    y = left.select("token", *(F.col(c).alias(f"y_{c}") for c in columns))
+    x = few.where(F.col("component") != F.col("main")).select("token", "main", *(F.col(c).alias(f"x_{c}") for c in columns))
+    y = few.select("token", *(F.col(c).alias(f"y_{c}") for c in columns))
     near = (F.col("x_n") * 100 >= F.col("y_n") * percent) & (F.col("y_n") * 100 >= F.col("x_n") * percent)
     once = (F.col("y_component") == F.col("main")) | (F.col("x_node") < F.col("y_node"))
-    apart = (F.col("x_component") != F.col("y_component")) & (F.col("x_home") != F.col("y_home")) & ~F.arrays_overlap("x_homes", "y_homes")
-    met = x.join(y, "token").where(once & near & apart)
+    apart_ = (F.col("x_component") != F.col("y_component")) & (F.col("x_home") != F.col("y_home")) & ~F.arrays_overlap("x_homes", "y_homes")
+    met = x.join(y, "token").where(once & near & apart_)  # at most PAIRS of a token
     pairs = met.groupBy(F.least("x_node", "y_node").alias("a"), F.greatest("x_node", "y_node").alias("b")).agg(F.count(F.lit(1)).alias("shared"), F.first(F.least("x_k", "y_k")).alias("k"))
     pairs = cut(pairs.where("shared >= k").select("a", "b"), "pairs")
     asked = cut(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct(), "asked")
     whole = sets.join(small(asked), "node", "left_semi")
     with_x = whole.select(F.col("node").alias("a"), F.col("tokens").alias("x")).join(small(pairs), "a")
     more = cut(with_x.join(whole.select(F.col("node").alias("b"), F.col("tokens").alias("y")), "b").select("a", "b", "x", "y").mapInArrow(_verified(percent), "a long, b long"), "more")
-    final = found if more.isEmpty() else components(links.unionByName(more))
-    named = classes.join(final, "node", "left").select("key", "least", "class_size", F.coalesce("component", "node").alias("component"))
-    smallest = named.groupBy("component").agg(F.min("least").alias("component_id"))
-    labels = named.join(smallest, "component").select("key", "class_size", "component_id")
-    out = rows.where("n > 0").select("doc_id", "n", "key").join(labels, "key").select("doc_id", F.col("n").alias("n_shingles"), "component_id", "class_size")
-    return out.unionByName(rows.where("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"), F.lit(1).cast("long").alias("class_size")))
+    final = found if more.isEmpty() and heavy.isEmpty() else components(links.unionByName(more))
+    # only classes with copies or links are joined back to the rows
+    named = cut(classes.join(final, "node", "left").where("class_size > 1 OR component IS NOT NULL").select("key", "node", "least", "class_size", F.coalesce("component", "node").alias("component")), "named")
+    smallest = cut(named.groupBy("component").agg(F.min("least").alias("component_id"), F.count(F.lit(1)).alias("m")), "smallest")
+    labels = cut(matched(named, "component", smallest, "m", F.col("node")).select("key", "class_size", "component_id", "component"), "labels")
+    spent(copied, copies, kept, buckets, active, homes, chosen, sets, known, several, open_, ranked, shapes, heavy, light, left, pairs, asked, more, named, smallest)
+    out = matched(rows.select("row", "doc_id", "text_hash", "n", "key"), "key", labels, "class_size", F.col("row"))
+    alone = F.col("class_size").isNull()
+    return out.select("row", "doc_id", "text_hash", F.col("n").alias("n_shingles"), F.when(alone, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"), F.coalesce("class_size", F.lit(1)).cast("long").alias("class_size"), "component")
+
+
+def link_documents(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per row of docs: doc_id, n_shingles, component_id (smallest doc_id of its component), class_size (rows with an
+    equal set).
+
+    Letters A-Z are compared in lower case; words are what ASCII white space leaves. Null texts and texts without words
+    have no shingles and no links; each such row is its own component. Rows with equal sets are linked whatever their ids;
+    a null id does not count as smallest unless there is no other. An empty table gives no rows; only id and text are read.
+    """
+    return _linked(docs, words, percent, id_col, text_col).select("doc_id", "n_shingles", "component_id", "class_size")
 
 
 def drop_near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """docs with one row of each component, the one with its smallest id; all columns kept. Cases as in link_documents;
-    rows whose id another row has too are one document."""
-    linked = cut(link_documents(docs, words, percent, id_col, text_col), "linked")
-    gone = cut(linked.groupBy("doc_id").agg(F.max(F.col("doc_id") > F.col("component_id")).alias("gone")).where("gone").select(F.col("doc_id").alias("gone_id")), "gone")
-    own, row_id = apart(docs, id_col)
-    return restored(own.join(small(gone), F.col(row_id).cast("long") == F.col("gone_id"), "left_anti"), docs)
+    """docs with one row of each component; all columns kept, whatever their names. Cases as in link_documents.
+
+    Rows are told apart by id and text: of a component, the row with the smallest id stays (null last), of several the one with
+    the smallest hash of its text, and of rows that are equal in both the one with the smallest hash of all columns.
+    """
+    linked = cut(_linked(docs, words, percent, id_col, text_col).where("component IS NOT NULL"), "linked")
+    order = F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "text_hash")
+    first = cut(linked.groupBy("component").agg(F.count(F.lit(1)).alias("m"), F.min(order).alias("first")).select("component", "m", F.col("first.doc_id").alias("first_id"), F.col("first.text_hash").alias("first_hash")), "first")
+    told = matched(linked.select("row", "component", "doc_id", "text_hash"), "component", first, "m", F.col("row"))
+    stays = F.col("doc_id").eqNullSafe(F.col("first_id")) & (F.col("text_hash") == F.col("first_hash"))
+    seen = cut(told.groupBy("doc_id", "text_hash").agg(F.count(F.lit(1)).alias("times"), F.max(stays).alias("stays")).where("times > 1 OR NOT stays").select(F.col("doc_id").alias("of_id"), F.col("text_hash").alias("of_hash"), "stays"), "seen")
+    own, row_id, text = apart(docs, id_col, text_col)
+    names = own.columns
+    keyed = own.withColumn("text_hash", F.xxhash64(row_id, text))
+    marked = keyed.join(small(seen), F.col(row_id).cast("long").eqNullSafe(F.col("of_id")) & (F.col("text_hash") == F.col("of_hash")), "left")
+    out = marked.where("stays IS NULL").select(*names)
+    if not seen.where("stays").isEmpty():
+        among = marked.where("stays").withColumn("order", F.sha2(F.to_json(F.struct(*names)), 256))
+        out = out.unionByName(among.groupBy("of_id", "of_hash").agg(F.min_by(F.struct(*names), "order").alias("r")).select("r.*"))
+    return restored(out, docs)

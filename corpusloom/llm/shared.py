@@ -66,9 +66,11 @@ def spent(*tables: DataFrame) -> None:
 
 
 def small(df: DataFrame, rows: int = BROADCAST_ROWS, most_bytes: int = BROADCAST_BYTES) -> DataFrame:
-    """df marked for broadcast if it has at most `rows` rows, and most_bytes in its strings and binaries; else as it is, for a
+    """df marked for broadcast if it has at most `rows` rows, and most_bytes in its strings, binaries and lists; else as it is, for a
     shuffled join that adaptive execution may split. df must be narrow and cheap to read (the result of cut())."""
-    long = [F.coalesce(F.octet_length(f.name), F.lit(0)).cast("long") for f in df.schema if f.dataType.simpleString() in ("string", "binary")]
+    kind = lambda f: f.dataType.simpleString()
+    long = [F.coalesce(F.octet_length(f.name), F.lit(0)).cast("long") for f in df.schema if kind(f) in ("string", "binary")]
+    long += [F.coalesce(8 * F.size(f.name), F.lit(0)).cast("long") for f in df.schema if kind(f) == "array<bigint>"]
     n, size = df.agg(F.count(F.lit(1)), F.coalesce(F.sum(sum(long, F.lit(0).cast("long"))), F.lit(0))).first()
     return F.broadcast(df) if n <= rows and size <= most_bytes else df
 
@@ -86,17 +88,17 @@ def restored(df: DataFrame, docs: DataFrame) -> DataFrame:
     return df.select(*(f"own_{i}" for i in range(len(docs.columns)))).toDF(*docs.columns)
 
 
-def matched(rows: DataFrame, key: str, table: DataFrame, weight: str, total: int, spread: Column) -> DataFrame:
+def matched(rows: DataFrame, key: str, table: DataFrame, weight: str, spread: Column) -> DataFrame:
     """rows joined (left) to table, a result of cut() with one row per key, by the column `key` of both; no task gets a hot key.
 
-    weight, a column of table, is how many of the `total` rows have the key. Keys of more than one in HOT_KEYS of all rows are
-    at most HOT_KEYS, and are broadcast; rows that they match are dealt out by `spread`, a whole number, all others by key.
+    weight, a column of table, is how many rows have the key. Keys of more than one in HOT_KEYS of all these are at most
+    HOT_KEYS, and are broadcast; rows that they match are dealt out by `spread`, a whole number, all others by key.
     """
     joined = small(table)
     if joined is not table:  # few enough as a whole
         return rows.join(joined, key, "left")
     names = [c for c in table.columns if c != key]
-    hot = F.col(weight) * HOT_KEYS > total
+    hot = F.col(weight) * HOT_KEYS > (table.agg(F.sum(weight)).first()[0] or 0)
     first = table.where(hot).select(key, F.struct(*names).alias("_hot"))
     rest = table.where(~hot).select(F.col(key).alias("_key"), F.lit(0).alias("_zero"), F.struct(*names).alias("_cold"))
     marked = rows.withColumn("_spread", spread).join(F.broadcast(first), key, "left")  # at most HOT_KEYS rows

@@ -80,9 +80,9 @@ def test_hot_keys_are_dealt_out(spark, monkeypatch, tmp_path):
     """A join that is too large to broadcast gives hot keys' rows to many tasks and loses none."""
     rows = spark.range(3000).select(F.col("id"), F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("key"))
     table = shared.cut(rows.where("key % 2 = 0").groupBy("key").agg(F.count(F.lit(1)).alias("n")).withColumn("word", F.concat(F.lit("w"), "key")), "test")
-    want = {r["id"]: (r["n"], r["word"]) for r in shared.matched(rows, "key", table, "n", 3000, F.col("id")).collect()}
+    want = {r["id"]: (r["n"], r["word"]) for r in shared.matched(rows, "key", table, "n", F.col("id")).collect()}
     monkeypatch.setattr(shared, "small", lambda df: df)
-    dealt = shared.matched(rows, "key", table, "n", 3000, F.col("id"))
+    dealt = shared.matched(rows, "key", table, "n", F.col("id"))
     assert {r["id"]: (r["n"], r["word"]) for r in dealt.collect()} == want and len(want) == 3000 and want[3] == (1000, "w0") and want[1] == (None, None)
 
 
