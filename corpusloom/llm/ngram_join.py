@@ -271,28 +271,33 @@ def _several(state: DataFrame) -> DataFrame:
 
 
 def _shapes(groups: DataFrame) -> DataFrame:
-    """home, m and its largest component, main, with u, the classes outside it, and blocks of both; of homes of several
-    components. groups has home, n, component."""
+    """home, m and its largest component, main, with u, the classes outside it, and numbers of blocks of these and of main; of
+    homes of several components. groups has home, n, component."""
     parts = groups.groupBy("home", "component").agg(F.count(F.lit(1)).alias("m"), F.sum("n").alias("w"))
     whole = parts.groupBy("home").agg(F.sum("m").alias("m"), F.sum("w").alias("w"), F.max(F.struct("m", "w", "component")).alias("main"), F.count(F.lit(1)).alias("several")).where("several > 1")
     rest = whole.withColumns({"u": F.col("m") - F.col("main.m"), "v": F.col("w") - F.col("main.w")})
-    return rest.select("home", "m", "u", F.col("main.component").alias("main"), _blocks("m", "w").alias("blocks"), _blocks("u", "v").alias("left_blocks"))
+    return rest.select("home", "m", "u", F.col("main.component").alias("main"), _blocks("main.m", "main.w").alias("main_blocks"), _blocks("u", "v").alias("left_blocks"))
 
 
 def _against_main(groups: DataFrame, shapes: DataFrame) -> DataFrame:
-    """The classes of groups (node, home, component) as _compared() takes them: those outside the main component are left."""
+    """The classes of groups (node, home, component) as _compared() takes them."""
     placed = matched(groups, "home", shapes, "m", F.col("node")).where("main IS NOT NULL")
-    return placed.select("node", "home", "component", (F.col("component") != F.col("main")).alias("left"), "left_blocks", "blocks")
+    return placed.select("node", "home", "component", (F.col("component") != F.col("main")).alias("left"), "left_blocks", "main_blocks")
 
 
 def _compared(sets: DataFrame, placed: DataFrame, kept: DataFrame, percent: int) -> DataFrame:
-    """Links (a, b) that join components of each home's classes. placed has node, home, component, whether it is compared with
-    all classes of its home (left), and numbers of left blocks and of blocks."""
+    """Links (a, b) that join components of each home's classes. placed has node, home, component, whether it is left, that is
+    compared with all classes of its home, and numbers of blocks of the left and of the others.
+
+    A task compares two blocks, i of the left and j of the left from i on, or of the others, which count on after the left.
+    """
     placed = cut(placed.join(kept.select("node", "k", F.col("tokens.token").alias("kept")), "node"), "placed")
-    rows = sets.join(small(placed), "node").withColumns({"own_i": F.pmod(F.xxhash64("node", F.lit(1)), "left_blocks").cast("int"), "own_j": F.pmod(F.xxhash64("node"), "blocks").cast("int")})
-    as_left = "if(left, transform(sequence(0, blocks - 1), j -> struct(own_i as i, j as j, true as l, j = own_j as r)), array())"
-    as_right = "transform(filter(sequence(0, left_blocks - 1), i -> NOT left OR i <> own_i), i -> struct(i as i, own_j as j, false as l, true as r))"
-    tasks = rows.withColumn("task", F.explode(F.expr(f"concat({as_left}, {as_right})"))).select("home", "task.*", "node", "k", "kept", "component", "tokens")
+    own = F.pmod(F.xxhash64("node"), F.when(F.col("left"), F.col("left_blocks")).otherwise(F.col("main_blocks"))).cast("int")
+    rows = sets.join(small(placed), "node").withColumn("own", own)
+    among = "transform(sequence(0, left_blocks - 1), x -> struct(least(own, x) as i, greatest(own, x) as j, own <= x as l, own >= x as r))"
+    to_main = "if(main_blocks = 0, array(), transform(sequence(0, main_blocks - 1), x -> struct(own as i, left_blocks + x as j, true as l, false as r)))"
+    of_main = "transform(sequence(0, left_blocks - 1), x -> struct(x as i, left_blocks + own as j, false as l, true as r))"
+    tasks = rows.withColumn("task", F.explode(F.expr(f"if(left, concat({among}, {to_main}), {of_main})"))).select("home", "task.*", "node", "k", "kept", "component", "tokens")
     parts = int(sets.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     found = cut(tasks.repartition(parts, "home", "i", "j").sortWithinPartitions("home", "i", "j").mapInArrow(_task_links(percent), "a long, b long"), "links")
     spent(placed)
@@ -322,8 +327,8 @@ def _linked(docs: DataFrame, words: int, percent: int, id_col: str, text_col: st
     if sets.count() > chosen.count():  # rows that are equal in id and text
         sets = cut(sets.dropDuplicates(["node"]), "sets")
     # small homes as a whole, large ones against their first block
-    pivot = F.pmod(F.xxhash64("node"), F.col("blocks")) == 0
-    links = _compared(sets, homes.select("node", "home", F.col("node").alias("component"), pivot.alias("left"), F.lit(1).alias("left_blocks"), "blocks"), kept, percent)
+    pivot = F.pmod(F.xxhash64("node", F.lit("pivot")), F.col("blocks")) == 0
+    links = _compared(sets, homes.select("node", "home", F.col("node").alias("component"), pivot.alias("left"), F.lit(1).alias("left_blocks"), F.when(F.col("blocks") > 1, F.col("blocks")).otherwise(0).alias("main_blocks")), kept, percent)
     found = components(links)
     # large homes, and classes whose tokens lead to more than one component and home
     known = cut(homes.join(found, "node", "left").withColumn("component", F.coalesce("component", "node")), "known")

@@ -251,9 +251,11 @@ def near_copies(seed, n):
     return out
 
 
-@pytest.mark.parametrize(("words", "percent", "seed"), [(3, 90, 1), (5, 80, 2), (1, 50, 3)])
-def test_ngram_join_brute_force(spark, monkeypatch, words, percent, seed):
-    monkeypatch.setattr(ngram_join, "BLOCK_ROWS", 16)
+@pytest.mark.parametrize(("words", "percent", "seed", "pairs"), [(3, 90, 1, 250_000), (5, 80, 2, 0), (1, 50, 3, 9), (2, 83, 4, 0)])
+def test_ngram_join_brute_force(spark, monkeypatch, words, percent, seed, pairs):
+    """Blocks of 5 and few joined pairs, so that homes and tokens are large."""
+    monkeypatch.setattr(ngram_join, "BLOCK_ROWS", 5)
+    monkeypatch.setattr(ngram_join, "PAIRS", pairs)
     monkeypatch.setattr(ngram_join, "LENGTHEN", 4)
     made = near_copies(seed, 240)
     docs = docs_of(spark, [(i, t, "en", "a") for i, t in made.items()])
@@ -269,6 +271,22 @@ def test_ngram_join_on_documents(spark, texts):
     assert kept == {c for _, c in brute_components(texts, 5, 80).values()}
 
 
+def test_near_duplicates_are_told_apart_by_row(spark):
+    """Rows without an id, with one id and with other texts: of each component one row stays, and unlike texts stay."""
+    a, b, c = " ".join(map(str, range(40))), " ".join(map(str, range(41))), " ".join(map(str, range(100, 140)))
+    rows = [(None, a, "en", "x"), (None, b, "en", "x"), (3, c, "en", "x"), (3, c + " end", "en", "y"), (5, a + " z y", "en", "x"), (5, "quite another text", "en", "x"), (None, "", "en", "x"), (None, "", "en", "x")]
+    rows += [(7, "twice the same row here", "en", "x"), (7, "twice the same row here", "en", "x"), (7, "twice the same row here", "de", "x")]
+    out = sorted((str(r["doc_id"]), r["text"][:20]) for r in ngram_join.drop_near_duplicates(docs_of(spark, rows[::-1]).repartition(3)).collect())
+    assert out == sorted([("5", a[:20]), ("5", "quite another text"), ("3", c[:20]), ("None", ""), ("None", ""), ("7", "twice the same row h")])
+
+
+def test_shared_needed_covers_both():
+    """The larger l of two linked sets lies in both prefixes, at every percent."""
+    for percent in (50, 67, 80, 83, 90, 99):
+        grown = [(ngram_join.shared_needed(n, percent), ngram_join._needed(n, percent)) for n in range(1, 3000)]
+        assert all(0 <= b[0] - a[0] <= b[1] - a[1] and 1 <= b[0] <= b[1] for a, b in zip(grown, grown[1:], strict=False))
+
+
 def test_ngram_join_cases(spark, edge, empty):
     rows = ngram_join.link_documents(edge, 3, 90).collect()
     got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in rows}
