@@ -9,9 +9,11 @@ import re
 from collections.abc import Iterable
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
+from corpusloom.shipping import ship
+
 #: Abbreviations whose full stop ends no sentence, and words before which a comma may split.
 ABBREVIATIONS = ("Mr", "Mrs", "Ms", "Dr", "Prof", "Sr", "Jr", "St", "vs", "etc", "e.g", "i.e", "U.S", "U.K", "a.m", "p.m")
 CONNECTORS = ("and", "but", "or", "because", "which", "that", "who", "while", "although", "however", "so", "then", "if", "when")
@@ -33,7 +35,7 @@ def sentence_fragments(text: str | None) -> list[str]:
         text = guard.sub(lambda m: m[0].replace(".", _DOT), text)
     out = []
     for paragraph in re.split(r"\n{2,}", text):
-        line, start = re.sub(r"\n+", " ", paragraph).strip(), 0
+        line, start = re.sub(r"\s*\n+\s*", " ", paragraph).strip(), 0
         for end in [m.end() for m in _ENDS.finditer(line)] + [len(line)]:
             if end > start:
                 out.append(line[start:end].strip().replace(_DOT, "."))
@@ -73,6 +75,9 @@ def chunks_of(text: str | None, limit: int) -> list[str]:
 
 
 def _udf(function, *arguments):
+    if session := SparkSession.getActiveSession():
+        ship(session)
+
     @F.pandas_udf("array<string>")
     def run(column: pd.Series) -> pd.Series:
         return column.map(lambda t: function(t, *arguments))

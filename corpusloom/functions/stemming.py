@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
+from corpusloom.shipping import ship
+
 #: Suffixes and what replaces them, in the order of the published steps.
 STEP2 = dict(x.split(":") for x in "ational:ate tional:tion enci:ence anci:ance izer:ize bli:ble alli:al entli:ent eli:e ousli:ous ization:ize ation:ate ator:ate alism:al iveness:ive fulness:ful ousness:ous aliti:al iviti:ive biliti:ble logi:log".split())
 STEP3 = dict(x.split(":") for x in "icate:ic ative: alize:al iciti:ic ical:ic ful: ness:".split())
@@ -86,6 +88,8 @@ def _stems(column: pd.Series) -> pd.Series:
 
 def stems(tokens: Column) -> Column:
     """Stems of an array of tokens."""
+    if session := SparkSession.getActiveSession():
+        ship(session)
 
     def run(column: pd.Series) -> pd.Series:
         return _stems(column)

@@ -27,16 +27,16 @@ def text_or_empty(c: Column) -> Column:
 
 def strip(c: Column) -> Column:
     """Without white space, of all Unicode, at both ends."""
-    return F.regexp_replace(c, r"(?U)^\s+|\s+$", "")
+    return F.regexp_replace(c, r"(?U)^\s++|(?<!\s)\s++$", "")  # a run inside is searched from its first character only
 
 
 def rstrip(c: Column) -> Column:
-    return F.regexp_replace(c, r"(?U)\s+$", "")
+    return F.regexp_replace(c, r"(?U)(?<!\s)\s++$", "")
 
 
 def is_blank(c: Column) -> Column:
     """Null, empty or white space only: a pending cell."""
-    return strip(text_or_empty(c)) == ""
+    return ~text_or_empty(c).rlike(r"(?U)\S")
 
 
 def compact(c: Column) -> Column:
@@ -50,7 +50,7 @@ def count_words(c: Column) -> Column:
 
 def count_sentences(c: Column) -> Column:
     """Parts between runs of . ! ? that are not blank."""
-    return F.size(F.filter(F.split(c, "[.!?]+"), lambda x: strip(x) != ""))
+    return F.regexp_count(c, F.lit(r"(?U)[^.!?\s][^.!?]*+"))
 
 
 def english_ratio(c: Column) -> Column:
@@ -61,14 +61,13 @@ def english_ratio(c: Column) -> Column:
 
 
 def letters(c: Column) -> Column:
-    return F.length(F.regexp_replace(c, r"[^\p{L}]", ""))
+    return F.length(F.regexp_replace(c, r"[^\p{L}]++", ""))
 
 
 def spacing_is_low(c: Column) -> Column:
     """Long tokens on average, or hardly a blank for the letters of a text of eight tokens or more."""
-    one = compact(c)
-    tokens, alpha = F.size(F.split(one, " ")), letters(one)
-    return F.when(one == "", F.lit(False)).otherwise((alpha / tokens >= 9.5) | ((tokens >= 8) & ((tokens - 1) / F.greatest(alpha, F.lit(1)) <= 0.085)))
+    tokens, alpha = F.regexp_count(c, F.lit(r"(?U)\S++")), letters(c)
+    return F.when(tokens == 0, F.lit(False)).otherwise((alpha / tokens >= 9.5) | ((tokens >= 8) & ((tokens - 1) / F.greatest(alpha, F.lit(1)) <= 0.085)))
 
 
 def _all(c: Column, pattern: str) -> Column:
@@ -101,7 +100,7 @@ def anchors(c: Column, with_names: Column) -> Column:
 
 def missing_anchors(found: Column, output: Column) -> Column:
     """How many anchors are no substring of the compacted, lower-cased output."""
-    return F.size(F.filter(found, lambda a: ~F.contains(F.lower(compact(output)), a)))
+    return F.transform(F.array(F.lower(compact(output))), lambda folded: F.size(F.filter(found, lambda a: ~F.contains(folded, a))))[0]
 
 
 def four_decimals(c: Column) -> Column:

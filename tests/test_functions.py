@@ -67,5 +67,28 @@ def test_porter(word, want):
     assert stem(word) == want
 
 
+def test_blanks_around_line_breaks():
+    assert chunking.sentence_fragments("a \n b.  C\n\n d\t\n\te") == ["a b.", "C", "d e"]
+
+
+def test_strip_is_linear(spark):
+    import time
+
+    started = time.monotonic()
+    assert one(spark, lambda c: F.length(T.strip(c)), " a" + " " * 200_000 + "b\u00a0\n") == 200_002
+    assert one(spark, lambda c: T.is_blank(c), " \t\u00a0" * 9) and one(spark, T.count_sentences, " . .!? a\u00a0b. \u00a0") == 1
+    assert time.monotonic() - started < 20
+
+
+def test_locales_are_checked(spark):
+    assert one(spark, locales.checked_locale, "\ten_gb\n") == "en-GB" and locales.described(" ES_ar") == ("es-AR", "Spanish as used in Argentina (es-AR)")
+    for bad in ("", "es", "a-b-c"):
+        with pytest.raises(Exception, match="no locale"):
+            one(spark, locales.checked_locale, bad)
+        with pytest.raises(ValueError):
+            locales.described(bad)
+
+
 def test_names():
-    assert locales.output_name("data/Combined Data.csv", "es-AR") == "data/Combined Data es-AR.csv"
+    assert locales.output_name("es-ES") == "Combined Data es-ES.csv"
+    assert locales.output_name("es-AR", "data/Combined Data.csv") == "data/Combined Data es-AR.csv"
