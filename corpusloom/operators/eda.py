@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusloom.functions import text as T
+from corpusloom.storage import written
 
 
 def translation_column(names: list[str]) -> str | None:
@@ -47,13 +48,57 @@ def text_summary(df: DataFrame, label: str) -> DataFrame:
     return df.groupBy(F.col(label).alias("label")).agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("is_translated").cast("int")).alias("n_translated"), *(c.alias(k) for k, c in means.items()))
 
 
+def quantiles(df: DataFrame, column: str, shares=(0.25, 0.5, 0.75)) -> list[float | None]:
+    """Exact quantiles of a column, interpolated. Values are counted, and the counts summed in sorted slices, so no task has all
+    of them; the driver gets the two values around each place."""
+    counts = df.where(F.col(column).isNotNull()).groupBy(F.col(column).cast("double").alias("v")).agg(F.count(F.lit(1)).alias("n"))
+    slices = written(counts.repartitionByRange(64, "v").withColumn("slice", F.spark_partition_id()), "values")
+    sums = slices.groupBy("slice").agg(F.sum("n").alias("m"))
+    before = sums.select("slice", F.coalesce(F.sum("m").over(Window.orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("b"))
+    upto = F.sum("n").over(Window.partitionBy("slice").orderBy("v")) + F.col("b")
+    total = slices.agg(F.sum("n")).first()[0]
+    if not total:
+        return [None] * len(shares)
+    at = [s * (total - 1) for s in shares]
+    places = sorted({int(x) for x in at} | {min(int(x) + 1, total - 1) for x in at})
+    ranked = slices.join(F.broadcast(before), "slice").withColumn("upto", upto)  # 64 rows
+    rows = ranked.select("v", F.explode(F.filter(F.array(*map(F.lit, places)), lambda p: (p < F.col("upto")) & (p >= F.col("upto") - F.col("n")))).alias("p")).collect()
+    found = {r["p"]: r["v"] for r in rows}
+    return [found[int(x)] + (found[min(int(x) + 1, total - 1)] - found[int(x)]) * (x - int(x)) for x in at]
+
+
 def describe(df: DataFrame, columns: list[str]) -> DataFrame:
     """One row per column: count, mean, sample deviation, minimum, exact quartiles (interpolated), maximum."""
-    def stats(c: str) -> list[Column]:
-        q = F.percentile(F.col(c), F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
-        return [F.struct(F.lit(c).alias("column"), F.count(c).alias("n"), F.avg(c).alias("mean"), F.stddev_samp(c).alias("std"), F.min(c).cast("double").alias("min"), q[0].alias("q25"), q[1].alias("q50"), q[2].alias("q75"), F.max(c).cast("double").alias("max"))]
+    df = written(df.select(*columns), "described")
+
+    def stats(c: str) -> Column:
+        q = [F.lit(x).cast("double") for x in quantiles(df, c)]
+        return F.struct(F.lit(c).alias("column"), F.count(c).alias("n"), F.avg(c).alias("mean"), F.stddev_samp(c).alias("std"), F.min(c).cast("double").alias("min"), q[0].alias("q25"), q[1].alias("q50"), q[2].alias("q75"), F.max(c).cast("double").alias("max"))
+
+    return df.agg(F.array(*map(stats, columns)).alias("rows")).select(F.explode("rows").alias("r")).select("r.*")
+
+
+def column_types(df: DataFrame) -> DataFrame:
+    """column, dtype, n_rows, n_filled of every column."""
+    types = df.sparkSession.createDataFrame([(f.name, f.dataType.simpleString()) for f in df.schema], "column string, dtype string")
+    return types.join(null_audit(df).drop("n_null"), "column")
+
 
-    return df.agg(F.array(*(s for c in columns for s in stats(c))).alias("rows")).select(F.explode("rows").alias("r")).select("r.*")
+def label_counts(df: DataFrame, label: str, labels) -> DataFrame:
+    """One row: rows before the filter on labels, of other labels, and left: n_before, n_invalid, n_after."""
+    known = F.coalesce(T.strip(F.col(label)).isin(*labels), F.lit(False))
+    return df.agg(F.count(F.lit(1)).alias("n_before"), F.count_if(~known).alias("n_invalid"), F.count_if(known).alias("n_after"))
+
+
+def filled_count(df: DataFrame, column: str) -> DataFrame:
+    """One row: how many cells are not blank, translated_rows_total."""
+    return df.agg(F.count_if(~T.is_blank(F.col(column))).alias("translated_rows_total"))
+
+
+def heatmap(counts: DataFrame) -> DataFrame:
+    """A confusion matrix as a chart needs it: actual, predicted, n and its share of the actual class."""
+    total = F.sum("n").over(Window.partitionBy("actual"))  # one row per label
+    return counts.withColumn("share", F.when(total > 0, F.col("n") / total).otherwise(F.lit(0.0)))
 
 
 def null_audit(df: DataFrame) -> DataFrame:
@@ -76,9 +121,15 @@ def token_frequencies(df: DataFrame, label: str, tokens: Column, top: int) -> Da
 
 
 def distinct_in_order(df: DataFrame, column: str, position: str) -> DataFrame:
+    """The values of a column and where each came first."""
     return df.groupBy(column).agg(F.min(position).alias("first_seen"))
 
 
+def in_first_order(df: DataFrame, column: str, position: str) -> DataFrame:
+    """The values of a column, each once, sorted by where it came first: the column, and place (that position)."""
+    return distinct_in_order(df, column, position).withColumnRenamed("first_seen", "place").orderBy("place")
+
+
 def confusion(df: DataFrame, actual: str, predicted: str) -> DataFrame:
     """actual, predicted, n over the dense grid of the labels that occur on either side (a small list, times itself)."""
     counts = df.groupBy(F.col(actual).alias("actual"), F.col(predicted).alias("predicted")).agg(F.count(F.lit(1)).alias("n"))

@@ -6,43 +6,53 @@ import numpy as np
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import DecisionTreeClassifier, GBTClassifier, LogisticRegression, NaiveBayes, OneVsRest
 from pyspark.ml.feature import Binarizer, CountVectorizer, ElementwiseProduct, IDF, NGram, Normalizer, RegexTokenizer, SQLTransformer, StringIndexer, VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import Vectors
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 TEST_SHARE, VOCABULARY, SEED = 0.2, 50_000, 101
 
 
-def split_exactly(df: DataFrame, key: str, share: float = TEST_SHARE, seed: str = "") -> DataFrame:
-    """df with in_test: the ceil(share * n) rows of smallest hash.
+def _hashed(key: str, seed: str) -> Column:
+    return F.md5(F.concat(F.col(key).cast("string"), F.lit(seed)))
+
 
-    The hash at that place is found by counts of hash prefixes, so only the rows of one prefix are ranked.
+def _cutoffs(df: DataFrame, groups: list[str], key: str, seed: str, wanted: DataFrame) -> DataFrame:
+    """groups and _last, hash and key of the row at place _want of each group in order of hash. wanted has groups and _want;
+    groups that want no row are left out.
+
+    Counts of hash prefixes tell in which prefix that row is; only ids of that prefix are ranked.
     """
-    hashed = df.withColumn("_h", F.md5(F.concat(F.col(key).cast("string"), F.lit(seed))))
-    counts = hashed.groupBy(F.left("_h", F.lit(3)).alias("p")).agg(F.count(F.lit(1)).alias("n")).collect()  # 4096 prefixes at most
-    left, edge = -int(-sum(r["n"] for r in counts) * share // 1), None
-    for r in sorted(counts, key=lambda r: r["p"]):
-        if left <= r["n"]:
-            edge = r["p"]
-            break
-        left -= r["n"]
-    prefix = F.left("_h", F.lit(3))
-    place = F.row_number().over(Window.partitionBy(prefix).orderBy("_h", key))
-    ranked = hashed.withColumn("_place", place)
-    test = F.lit(False) if edge is None else (prefix < edge) | ((prefix == edge) & (F.col("_place") <= left))
-    return ranked.withColumn("in_test", test).drop("_h", "_place")
+    ids = df.select(*groups, F.struct(_hashed(key, seed).alias("h"), F.col(key).alias("k")).alias("_at")).withColumn("_p", F.left("_at.h", F.lit(3)))
+    counts = ids.groupBy(*groups, "_p").agg(F.count(F.lit(1)).alias("_n"))  # 4096 prefixes of a group at most
+    upto = counts.withColumn("_upto", F.sum("_n").over(Window.partitionBy(*groups).orderBy("_p")))
+    edge = upto.join(F.broadcast(wanted.where("_want > 0")), groups) if groups else upto.crossJoin(F.broadcast(wanted.where("_want > 0")))  # one row of a group
+    edge = edge.where((F.col("_upto") >= F.col("_want")) & (F.col("_upto") - F.col("_n") < F.col("_want"))).select(*groups, "_p", (F.col("_want") - F.col("_upto") + F.col("_n")).alias("_left"))
+    ranked = ids.join(F.broadcast(edge), [*groups, "_p"]).withColumn("_place", F.row_number().over(Window.partitionBy(*groups, "_p").orderBy("_at")))
+    return ranked.where("_place = _left").select(*groups, F.col("_at").alias("_last"))
+
+
+def split_exactly(df: DataFrame, key: str, share: float = TEST_SHARE, seed: str = "") -> DataFrame:
+    """df with in_test: the ceil(share * n) rows of smallest hash. Rows are compared with the last of these, and not sorted."""
+    wanted = df.agg(F.ceil(F.count(F.lit(1)) * F.lit(share)).alias("_want"))
+    last = _cutoffs(df, [], key, seed, wanted).first()
+    if last is None:
+        return df.withColumn("in_test", F.lit(False))
+    at = F.struct(_hashed(key, seed).alias("h"), F.col(key).alias("k"))
+    return df.withColumn("in_test", at <= F.struct(F.lit(last["_last"]["h"]).alias("h"), F.lit(last["_last"]["k"]).alias("k")))
 
 
 def oversampled(df: DataFrame, label: str, key: str) -> DataFrame:
-    """df with the rows of each class repeated until it is as large as the largest, the first rows by hash once more often."""
-    counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("_n"))
-    top = counts.agg(F.max("_n").alias("_top"))
-    sized = df.join(F.broadcast(counts.crossJoin(F.broadcast(top))), label)  # one row per class, one row
-    share = F.col("_top") / F.col("_n")
-    # expected totals are met within rounding: the fraction is drawn by hash
-    draw = F.conv(F.left(F.md5(F.col(key).cast("string")), F.lit(8)), 16, 10).cast("double") / F.lit(float(1 << 32))
-    copies = (F.floor(share) + F.when(draw < share - F.floor(share), 1).otherwise(0)).cast("int")
-    return sized.withColumn("_copy", F.explode(F.sequence(F.lit(1), copies))).drop("_copy", "_n", "_top")
+    """df with the rows of each class repeated until it has as many as the largest: all equally often, and the first rows by hash
+    once more."""
+    counts = df.groupBy(F.col(label)).agg(F.count(F.lit(1)).alias("_n"))
+    sized = counts.withColumn("_top", F.max("_n").over(Window.partitionBy())).withColumn("_want", F.col("_top") % F.col("_n"))  # one row per class
+    plan = sized.join(_cutoffs(df, [label], key, "", sized.select(label, "_want")), label, "left")
+    joined = df.join(F.broadcast(plan), label)
+    more = F.coalesce(F.struct(_hashed(key, "").alias("h"), F.col(key).alias("k")) <= F.col("_last"), F.lit(False)).cast("int")
+    copies = F.floor(F.col("_top") / F.col("_n")).cast("int") + more
+    return joined.withColumn("_copy", F.explode(F.sequence(F.lit(1), copies))).select(*df.columns)
 
 
 def oversample_plan(df: DataFrame, label: str) -> DataFrame:
@@ -99,9 +109,17 @@ def evaluated(df: DataFrame, key: str, text: str, label: str, numeric: list[str]
         fitted = classifiers(ready.count(), rounds)[name].fit(ready)
         said = fitted.transform(asked).select(F.lit(name).alias("classifier"), key, F.col(label).alias("actual"), F.element_at(names_of, F.col("prediction").cast("int") + 1).alias("predicted"))
         out = said if out is None else out.unionByName(said)
+    ready.unpersist()
     return out
 
 
+def shape(vectors: DataFrame, column: str = "features") -> DataFrame:
+    """Rows, columns and stored values of a table of vectors, as one row: n_rows, n_columns, n_stored."""
+    array = F.size(vector_to_array(F.col(column)))
+    stored = F.size(F.filter(vector_to_array(F.col(column)), lambda v: v != 0))
+    return vectors.agg(F.count(F.lit(1)).alias("n_rows"), F.max(array).alias("n_columns"), F.sum(stored).alias("n_stored"))
+
+
 def comparison(predictions: DataFrame) -> DataFrame:
     """Accuracy of each classifier, best first."""
     right = (F.col("actual") == F.col("predicted")).cast("int")
