@@ -130,10 +130,12 @@ def sure_reason(q: QaThresholds = QaThresholds()) -> Column:
 
 
 def sure_report(report: DataFrame, limits: QaThresholds = QaThresholds(), most: int = 0) -> DataFrame:
-    """The high-confidence part of a suspicious report, reset to pending, most lost anchors first."""
+    """The high-confidence part of a suspicious report, reset to pending, most lost anchors first. The report is written first:
+    classes read each column often, and a sort samples its input before it reads it."""
     from corpusloom.operators.reports import normal_action
+    from corpusloom.storage import written
 
-    df = report.withColumn("high_confidence_reason", sure_reason(limits)).where("high_confidence_reason IS NOT NULL")
+    df = settled(written(report, "report").withColumn("high_confidence_reason", sure_reason(limits))).where("high_confidence_reason IS NOT NULL")
     df = df.withColumns({"source_report_action": normal_action(F.col("action")), "action": F.lit("pending"), "new_translation": F.lit("")})
     order = (F.desc(F.coalesce(F.col("anchor_miss_ratio").try_cast("double"), F.lit(0.0))), F.asc(F.coalesce(F.col("char_ratio").try_cast("double"), F.lit(1.0))), F.asc(F.coalesce(F.col("row_id").cast("bigint"), F.lit(0))))
     out = df.select(*SURE_REPORT).orderBy(*order)

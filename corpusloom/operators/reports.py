@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusloom.functions.text import is_blank, strip, text_or_empty
+from corpusloom.storage import written
 
 COMPLETED = ("success", "rejected_blank", "missing_row")
 #: Further states that a mode does not run again.
@@ -82,16 +83,22 @@ def pending(df: DataFrame, column: str, start_row: int = 0) -> DataFrame:
     return df.where((F.col("row_id") >= start_row) & is_blank(F.col(column)))
 
 
-def batched(df: DataFrame, size: int, order: str = "row_id", slices: int = 64) -> DataFrame:
-    """df with batch_no: numbers from 1 of runs of `size` rows in order.
+def numbered(df: DataFrame, order: str, name: str, slices: int = 64) -> DataFrame:
+    """df with its place, from 0 on, in order, under `name`.
 
-    Rows are numbered in range-partitioned slices whose counts are summed, so that no task sorts the whole table.
+    Rows are numbered in range-partitioned slices whose counts are summed, so that no task sorts the whole table. The slices are
+    written first: their bounds come from samples, and would differ between the counts and the places.
     """
-    dealt = df.repartitionByRange(slices, order).withColumn("_slice", F.spark_partition_id())
+    dealt = written(df.repartitionByRange(slices, order).withColumn("_slice", F.spark_partition_id()), "slices")
     counts = dealt.groupBy("_slice").agg(F.count(F.lit(1)).alias("_n"))
     before = counts.select("_slice", F.coalesce(F.sum("_n").over(Window.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"))
     place = F.row_number().over(Window.partitionBy("_slice").orderBy(order)) - 1 + F.col("_before")
-    return dealt.join(F.broadcast(before), "_slice").withColumn("batch_no", (F.floor(place / size) + 1).cast("bigint")).drop("_slice", "_before")  # `slices` rows at most
+    return dealt.join(F.broadcast(before), "_slice").withColumn(name, place).drop("_slice", "_before")  # `slices` rows at most
+
+
+def batched(df: DataFrame, size: int, order: str = "row_id", slices: int = 64) -> DataFrame:
+    """df with batch_no: numbers from 1 of runs of `size` rows in order."""
+    return numbered(df, order, "_place", slices).withColumn("batch_no", (F.floor(F.col("_place") / size) + 1).cast("bigint")).drop("_place")
 
 
 def batch_bounds(batches: DataFrame) -> DataFrame:
@@ -160,6 +167,32 @@ def merged_report(fresh: DataFrame, existing: DataFrame) -> DataFrame:
     return joined.withColumns(keep).drop("_new", "_action", "_known")
 
 
+def reuse_counts(merged: DataFrame) -> DataFrame:
+    """How many rows of merged_report() an earlier report had, and how many are new: reused, added."""
+    return merged.agg(F.count_if("reused").alias("reused"), F.count_if(~F.col("reused")).alias("added"))
+
+
+def only_selected(report: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows of a report whose id is chosen."""
+    return report.join(ids.select("row_id"), "row_id", "left_semi")
+
+
+def with_fallbacks(report: DataFrame, output: DataFrame, source_col: str, label_col: str) -> DataFrame:
+    """A report whose blank source texts and labels are taken from the output; _there tells whether the output has the row."""
+    known = output.select("row_id", F.col(source_col).alias("_source"), F.col(label_col).alias("_label"), F.lit(True).alias("_there"))
+    joined = report.join(known, "row_id", "left")
+    own = {"source_text": F.when(~is_blank(F.col("source_text")), F.col("source_text")).otherwise(text_or_empty(F.col("_source")))}
+    if "label" in report.columns:
+        own["label"] = F.when(~is_blank(F.col("label")), F.col("label")).otherwise(text_or_empty(F.col("_label")))
+    return joined.withColumns(own).drop("_source", "_label")
+
+
+def run_counters(done: DataFrame) -> DataFrame:
+    """One row of a run's counters: updated, empty, failed, total."""
+    state = F.col("state")
+    return done.agg(F.count_if(state == "success").alias("updated"), F.count_if(state == "empty_retry").alias("empty"), F.count_if(F.startswith(state, F.lit("failed:"))).alias("failed"), F.count(F.lit(1)).alias("total"))
+
+
 def written_back(output: DataFrame, results: DataFrame, column: str) -> DataFrame:
     """The output with new texts by id."""
     new = results.select("row_id", F.col("new_text").alias("_new"))

@@ -8,9 +8,11 @@ from __future__ import annotations
 import csv
 import io
 import json
+import time
 import urllib.error
 import urllib.request
 from collections.abc import Callable, Iterator
+from dataclasses import replace
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -18,13 +20,18 @@ from pyspark.sql import functions as F
 
 from corpusloom.config import TranslateConfig
 from corpusloom.functions.chunking import chunks_of
+from corpusloom.functions.locales import described
+from corpusloom.shipping import ship
 
 Backend = Callable[[str], str]
+#: Second passes go no lower with min_chunk_chars.
+FLOOR = 40
 RESULT = "row_id long, new_text string, state string, attempts long"
 
 
 def http_backend(url: str, config: TranslateConfig) -> Backend:
-    """A backend that posts prompts to a local model server."""
+    """A backend that posts prompts to a local model server, and rests config.sleep_s after each call. Calls of one partition
+    follow each other, so the number of partitions bounds the load."""
 
     def call(prompt: str) -> str:
         body = json.dumps({"model": config.model, "prompt": prompt, "stream": False}).encode()
@@ -34,6 +41,8 @@ def http_backend(url: str, config: TranslateConfig) -> Backend:
                 text = json.load(answer).get("response")
         except (OSError, urllib.error.URLError, json.JSONDecodeError) as problem:
             raise ValueError(f"the model server failed: {problem}") from problem
+        finally:
+            time.sleep(config.sleep_s)
         if not isinstance(text, str):
             raise ValueError("the model server sent no text")
         return text
@@ -41,13 +50,21 @@ def http_backend(url: str, config: TranslateConfig) -> Backend:
     return call
 
 
+def system_part(config: TranslateConfig) -> str:
+    """What every prompt begins with: the task, in the locales' own descriptions, and its rules."""
+    source, target = described(config.source_locale)[1], described(config.target_locale)[1]
+    return f"You translate statements of people about how they feel from {source} to {target}. Keep meaning, tone, numbers, names and line breaks; add no notes, advice or judgement."
+
+
 def batch_prompt(rows: list[dict], config: TranslateConfig) -> str:
-    shape = "CSV with the header row_id,translation" if config.response_format == "csv" else "a JSON array of objects with row_id and translation"
-    return f"Translate source_text from {config.source_locale} to {config.target_locale}. Answer with {shape}, every row_id once.\n{json.dumps(rows, ensure_ascii=False, indent=2)}"
+    """Task, rules and form of the answer in the first line; then the rows as JSON."""
+    shape = "CSV with the header row_id,translation and quoted texts" if config.response_format == "csv" else "a JSON array of objects with row_id and translation"
+    return f"{system_part(config)} Answer with {shape}, every row_id once.\n{json.dumps(rows, ensure_ascii=False, indent=2)}"
 
 
 def chunk_prompt(text: str, config: TranslateConfig) -> str:
-    return f"Translate from {config.source_locale} to {config.target_locale}. Answer with the translation only.\n{text}"
+    """Task and rules in the first line; then a piece of a longer text."""
+    return f"{system_part(config)} The text is a part of a longer one. Answer with its translation only.\n{text}"
 
 
 def unfenced(text: str) -> str:
@@ -156,7 +173,11 @@ def run_batches(rows: list[dict], backend: Backend, config: TranslateConfig) ->
 
 
 def translated(df: DataFrame, backend: Backend, config: TranslateConfig = TranslateConfig()) -> DataFrame:
-    """row_id, new_text, state, attempts of rows (row_id, label, source_text). Partitions call the backend side by side."""
+    """row_id, new_text, state, attempts of rows (row_id, label, source_text). Partitions call the backend side by side.
+
+    Whoever reads the result twice calls the backend twice: write it first, as the passes do.
+    """
+    ship(df.sparkSession)
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
@@ -167,7 +188,9 @@ def translated(df: DataFrame, backend: Backend, config: TranslateConfig = Transl
 
 
 def translated_in_chunks(df: DataFrame, backend: Backend, config: TranslateConfig = TranslateConfig()) -> DataFrame:
-    """The same for rows that are translated chunk by chunk, as second passes do."""
+    """The same for rows that are translated chunk by chunk, as second passes do: with chunks of FLOOR characters at least."""
+    ship(df.sparkSession)
+    config = replace(config, min_chunk_chars=max(FLOOR, config.min_chunk_chars))
 
     def one(text: str) -> tuple[str, str]:
         try:

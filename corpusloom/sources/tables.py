@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader
 from pyspark.sql.types import StringType, StructField, StructType
 
+from corpusloom.operators.eda import in_first_order
+from corpusloom.operators.qa import REPORT, SURE_REPORT
 from corpusloom.operators.reports import as_strings, clean_names, ids_in_text, parsed_id
 
 
@@ -35,31 +37,52 @@ def read_if_there(spark: SparkSession, path: str) -> DataFrame | None:
     return read_strings(spark, path) if exists(spark, path) else None
 
 
-def write_strings(df: DataFrame, path: str, one_file: bool = False) -> None:
-    """Strings as CSV with a header, cells as they are; one_file is for exports that fit one task."""
+def write_strings(df: DataFrame, path: str, one_file: bool = False, columns: list[str] | None = None, unknown: str = "project", bom: bool = False) -> None:
+    """Strings as CSV with a header, cells as they are; one_file is for exports that fit one task.
+
+    columns are those to write, absent ones empty; other columns of df are left out, or raise if unknown is "raise". With bom
+    each file begins with a byte order mark.
+    """
+    if columns is not None:
+        if unknown == "raise" and (more := [c for c in df.columns if c not in columns]):
+            raise ValueError(f"columns that the table does not have: {more[:10]}")
+        df = df.select(*(F.col(f"`{c}`") if c in df.columns else F.lit("").alias(c) for c in columns))
     out = as_strings(df)
+    if bom and out.columns:
+        out = out.withColumnRenamed(out.columns[0], "\ufeff" + out.columns[0])
     (out.coalesce(1) if one_file else out).write.mode("overwrite").csv(path, header=True, quote='"', escape='"', emptyValue="", ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
 
 
+def write_report(df: DataFrame, path: str, rebuild: bool = True, sure: bool = False) -> None:
+    """A suspicious or (sure) high-confidence report with its 22 columns as CSV; absent ones are empty. An existing one is
+    replaced only if rebuild is set."""
+    if not rebuild and exists(df.sparkSession, path):
+        raise FileExistsError(path)
+    write_strings(df, path, columns=SURE_REPORT if sure else REPORT, bom=True)
+
+
 def write_new(df: DataFrame, path: str, rebuild: bool = False) -> None:
     """A report as Parquet; an existing one is replaced only if rebuild is set."""
     df.write.mode("overwrite" if rebuild else "errorifexists").parquet(path)
 
 
 def read_ids(spark: SparkSession, path: str) -> DataFrame:
-    """row_id of an id list: of the row_id column of a .csv, else every whole number of the text once."""
+    """row_id and place of an id list: of the row_id column of a .csv, else every whole number of the text once, in order."""
     if path.lower().endswith(".csv"):
         df = read_strings(spark, path)
         if "row_id" not in df.columns:
             raise ValueError("the list has no row_id column")
-        return df.select(F.coalesce(parsed_id(F.col("row_id")), F.raise_error(F.lit("a row id is no whole number")).cast("bigint")).alias("row_id"))
-    return spark.read.text(path).select(F.explode(ids_in_text(F.col("value"))).alias("row_id")).distinct()
+        return df.select(F.coalesce(parsed_id(F.col("row_id")), F.raise_error(F.lit("a row id is no whole number")).cast("bigint")).alias("row_id"), F.monotonically_increasing_id().alias("place"))
+    return spark.read.text(path, wholetext=True).select(F.posexplode(ids_in_text(F.col("value"))).alias("place", "row_id")).select("row_id", F.col("place").cast("bigint").alias("place"))
 
 
 def chosen_ids(spark: SparkSession, inline: str = "", path: str = "") -> DataFrame:
-    """Distinct ids of an inline list and of a file."""
-    given = spark.createDataFrame([(inline,)], "value string").select(F.explode(ids_in_text(F.col("value"))).alias("row_id"))
-    return given.union(read_ids(spark, path)).distinct() if path else given
+    """Distinct ids of an inline list, then of a file, in the order in which they first come: row_id, place."""
+    given = spark.createDataFrame([(inline,)], "value string").select(F.posexplode(ids_in_text(F.col("value"))).alias("place", "row_id"))
+    both = given.select("row_id", F.struct(F.lit(0).alias("list"), F.col("place").cast("bigint").alias("at")).alias("place"))
+    if path:
+        both = both.unionByName(read_ids(spark, path).select("row_id", F.struct(F.lit(1).alias("list"), F.col("place").alias("at")).alias("place")))
+    return in_first_order(both, "row_id", "place")
 
 
 def write_checkpoint(spark: SparkSession, values: dict, path: str) -> None:
