@@ -15,6 +15,7 @@ from corpusloom.functions import chunking, locales
 from corpusloom.functions import text as T
 from corpusloom.functions.stemming import stems
 from corpusloom.operators import eda, ml, qa, reports, translate
+from corpusloom.plans import passes
 from corpusloom.shipping import ship
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -577,3 +578,142 @@ def gbt_eval(spark, sf_dir):
 @query()
 def classifier_comparison(spark, sf_dir):
     return ml.comparison(_evaluation(spark, sf_dir, ["bernoulli_nb", "decision_tree", "logistic_regression", "gradient_boosting"]))
+
+
+@query("SELECT doc_id, lang, row_number() OVER (ORDER BY doc_id) - 1 AS place FROM documents")
+def row_numbers(spark, sf_dir):
+    return reports.numbered(table(spark, sf_dir, "documents").select("doc_id", "lang"), "doc_id", "place")
+
+
+@query(f"WITH {PAIRS}, n AS (SELECT row_id, label, (row_number() OVER (ORDER BY row_id) - 1) // 8 + 1 AS batch_no FROM pairs WHERE {strip_sql('current_translation')} = '') SELECT row_id, label FROM n WHERE batch_no <= 3")
+def first_batches(spark, sf_dir):
+    return reports.batched(reports.pending(output_table(spark, sf_dir), "cell"), 8).where("batch_no <= 3").select("row_id", "label")
+
+
+@query("SELECT doc_id AS row_id, lang AS label, length(text) AS text_length, 'no answer' AS reason FROM documents")
+def failed_rows(spark, sf_dir):
+    return reports.failed_rows(output_table(spark, sf_dir), F.lit("no answer"), F.lit("")).drop("source_text", "logged_at")
+
+
+_IDS = "CASE doc_id % 5 WHEN 0 THEN ' ' WHEN 1 THEN 'x' || doc_id ELSE ' ' || doc_id || ' ' END"
+
+
+@query(f"WITH d AS (SELECT d.doc_id, {_IDS} AS given, l.doc_id IS NOT NULL AS there, CASE WHEN d.doc_id % 7 = 0 THEN ' ' ELSE d.text END AS t FROM documents d LEFT JOIN labels l ON l.doc_id = d.doc_id) SELECT doc_id, CASE WHEN trim(given) = '' THEN 'missing_row_id' WHEN NOT regexp_matches(trim(given), '^[0-9]+$') THEN 'invalid_row_id' WHEN NOT there THEN 'missing_row' WHEN trim(t) = '' THEN 'missing_source_text' END AS state, CASE WHEN regexp_matches(trim(given), '^[0-9]+$') THEN trim(given)::BIGINT END AS parsed FROM d".replace(_IDS, _IDS.replace("doc_id", "d.doc_id")))
+def terminal_states(spark, sf_dir):
+    i = F.col("doc_id")
+    given = F.when(i % 5 == 0, " ").when(i % 5 == 1, F.concat(F.lit("x"), i)).otherwise(F.concat(F.lit(" "), i, F.lit(" ")))
+    known = table(spark, sf_dir, "labels").select("doc_id", F.lit(True).alias("there"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", given.alias("given"), F.when(i % 7 == 0, " ").otherwise(F.col("text")).alias("t")).join(known, "doc_id", "left")
+    return docs.select("doc_id", reports.terminal_state(F.col("given"), F.col("there"), F.col("t")).alias("state"), reports.parsed_id(F.col("given")).alias("parsed"))
+
+
+@query("SELECT row_id, arg_max(v, pos) AS v FROM (SELECT doc_id AS row_id, doc_id AS pos, lang AS v FROM documents UNION ALL SELECT doc_id, 1000000 + doc_id, quality::VARCHAR FROM labels) GROUP BY row_id")
+def last_by_id(spark, sf_dir):
+    first = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("row_id"), F.col("doc_id").alias("pos"), F.col("lang").alias("v"))
+    later = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("row_id"), (F.col("doc_id") + 1_000_000).alias("pos"), F.col("quality").cast("string").alias("v"))
+    return reports.last_by_id(first.unionByName(later), "pos").select("row_id", "v")
+
+
+@query("SELECT d.doc_id AS row_id, lang AS label FROM documents d WHERE doc_id IN (SELECT item_id FROM benchmark)")
+def selected_membership(spark, sf_dir):
+    ids = table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("row_id"))
+    return reports.only_selected(table(spark, sf_dir, "documents").select(F.col("doc_id").alias("row_id"), F.col("lang").alias("label")), ids)
+
+
+@query(f"WITH {PAIRS}, r AS (SELECT i.row_id, CASE WHEN i.row_id % 2 = 0 THEN ' ' ELSE 'own' END AS s, CASE WHEN i.row_id % 3 = 0 THEN '' ELSE 'l' END AS l FROM (SELECT item_id * 7 AS row_id FROM benchmark) i) SELECT r.row_id, md5(CASE WHEN trim(s) <> '' THEN s ELSE coalesce(p.source_text, '') END) AS source_text, CASE WHEN l <> '' THEN l ELSE coalesce(p.label, '') END AS label, coalesce(p.row_id IS NOT NULL, false) AS there FROM r LEFT JOIN pairs p ON p.row_id = r.row_id")
+def report_fallbacks(spark, sf_dir):
+    i = F.col("row_id")
+    report = table(spark, sf_dir, "benchmark").select((F.col("item_id") * 7).alias("row_id")).withColumns({"source_text": F.when(i % 2 == 0, " ").otherwise("own"), "label": F.when(i % 3 == 0, "").otherwise("l")})
+    told = reports.with_fallbacks(report, output_table(spark, sf_dir), "source_text", "label")
+    return told.select("row_id", F.md5("source_text").alias("source_text"), "label", F.coalesce("_there", F.lit(False)).alias("there"))
+
+
+@query("SELECT doc_id AS row_id, CASE WHEN quality = 1 THEN 'success' WHEN quality = 0 THEN 'rejected_blank' ELSE 'pending' END AS action, CASE WHEN quality = 0 THEN '' ELSE 'new' END AS new_translation FROM (SELECT d.doc_id, l.quality FROM documents d LEFT JOIN labels l ON l.doc_id = d.doc_id)")
+def review_decisions(spark, sf_dir):
+    report = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("row_id"), F.lit("new").alias("new_translation"), F.lit("pending").alias("action"))
+    said = table(spark, sf_dir, "labels").where("quality IS NOT NULL").select(F.col("doc_id").alias("row_id"), (F.col("quality") == 1).alias("accepted"))
+    return reports.decided(report, said)
+
+
+@query("SELECT count(*) AS n_before, count_if(trim(lang) NOT IN ('en', 'fr')) AS n_invalid, count_if(trim(lang) IN ('en', 'fr')) AS n_after FROM documents")
+def label_counts(spark, sf_dir):
+    return eda.label_counts(table(spark, sf_dir, "documents"), "lang", ("en", "fr"))
+
+
+@query(f"WITH {PAIRS} SELECT count(*) AS translated_rows_total FROM pairs WHERE {strip_sql('current_translation')} <> ''")
+def translated_rows_total(spark, sf_dir):
+    return eda.filled_count(output_table(spark, sf_dir), "cell")
+
+
+@query("SELECT source, min(doc_id) AS place FROM documents GROUP BY source")
+def distinct_in_order(spark, sf_dir):
+    return eda.in_first_order(table(spark, sf_dir, "documents"), "source", "doc_id")
+
+
+@query("SELECT row_id, p.list AS list, p.pos AS \"at\" FROM (SELECT row_id, min({'list': l, 'pos': pos}) AS p FROM (SELECT doc_id % 50 AS row_id, 0 AS l, doc_id AS pos FROM labels UNION ALL SELECT item_id, 1, item_id FROM benchmark) GROUP BY row_id)")
+def ordered_id_union(spark, sf_dir):
+    place = lambda k, c: F.struct(F.lit(k).alias("list"), F.col(c).alias("at")).alias("place")
+    first, more = table(spark, sf_dir, "labels").select((F.col("doc_id") % 50).alias("row_id"), place(0, "doc_id")), table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("row_id"), place(1, "item_id"))
+    return eda.in_first_order(first.unionByName(more), "row_id", "place").select("row_id", "place.*")
+
+
+@query("SELECT 'doc_id' AS \"column\", 'bigint' AS dtype, count(*) AS n_rows, count(doc_id) AS n_filled FROM documents UNION ALL SELECT 'lang', 'string', count(*), count(lang) FROM documents UNION ALL SELECT 'text', 'string', count(*), count(text) FROM documents")
+def column_types(spark, sf_dir):
+    return eda.column_types(table(spark, sf_dir, "documents").select("doc_id", "lang", "text"))
+
+
+@query(f"WITH {PAIRS} SELECT count(*) AS updated, 0 AS empty, 0 AS failed, count(*) AS total FROM pairs WHERE {strip_sql('current_translation')} = ''")
+def run_counters(spark, sf_dir):
+    return reports.run_counters(translate.translated(reports.pending(output_table(spark, sf_dir), "cell"), translate.whispering_backend))
+
+
+@query(f"WITH d AS {_SAID}, l AS (SELECT a AS x FROM d UNION SELECT p FROM d), m AS (SELECT i.x AS actual, j.x AS predicted, (SELECT count(*) FROM d WHERE a = i.x AND p = j.x) AS n FROM l i, l j) SELECT *, CASE WHEN sum(n) OVER (PARTITION BY actual) > 0 THEN round(n / sum(n) OVER (PARTITION BY actual), 9) ELSE 0 END AS share FROM m")
+def confusion_heatmap(spark, sf_dir):
+    return eda.heatmap(eda.confusion(fixed_prediction(spark, sf_dir), "a", "p")).withColumn("share", F.round("share", 9))
+
+
+@query("WITH n AS (SELECT doc_id, lang, count(*) OVER (PARTITION BY lang) AS n, row_number() OVER (PARTITION BY lang ORDER BY md5(doc_id::VARCHAR), doc_id) AS k FROM documents), t AS (SELECT *, max(n) OVER () AS top FROM n) SELECT doc_id, lang, top // n + CASE WHEN k <= top % n THEN 1 ELSE 0 END AS copies FROM t")
+def oversampled_rows(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "lang")
+    return ml.oversampled(docs, "lang", "doc_id").groupBy("doc_id", "lang").agg(F.count(F.lit(1)).alias("copies"))
+
+
+@query(f"WITH {PAIRS} SELECT row_id, md5(CASE WHEN {strip_sql('current_translation')} = '' THEN lower({strip_sql('source_text')}) ELSE current_translation END) AS cell FROM pairs")
+def first_pass(spark, sf_dir):
+    after, _ = passes.first_pass(output_table(spark, sf_dir), translate.whispering_backend, "cell")
+    return after.select("row_id", F.md5("cell").alias("cell"))
+
+
+@query(f"WITH {PAIRS}, q AS (SELECT doc_id, lang FROM documents d JOIN labels l USING (doc_id)) SELECT CASE WHEN doc_id % 11 = 0 THEN 'x' ELSE doc_id::VARCHAR END AS row_id, lang AS label FROM q JOIN pairs p ON p.row_id = q.doc_id WHERE doc_id % 11 = 0 OR {strip_sql('current_translation')} <> ''")
+def queue_pass(spark, sf_dir):
+    """The queue that is left when a second pass has translated its blank rows."""
+    known = table(spark, sf_dir, "documents").join(table(spark, sf_dir, "labels"), "doc_id")
+    queue = known.select(F.when(F.col("doc_id") % 11 == 0, F.lit("x")).otherwise(F.col("doc_id").cast("string")).alias("row_id"), F.col("lang").alias("label"))
+    return passes.queue_pass(output_table(spark, sf_dir), queue, translate.whispering_backend, "cell")[1]
+
+
+@query(f"WITH {REPORT}, l AS (SELECT doc_id, CASE WHEN quality = 1 THEN 'success' ELSE 'pending' END AS a FROM labels) SELECT row_id, suspicion_score, CASE WHEN l.doc_id IS NULL THEN '' ELSE 'kept' END AS new_translation, coalesce(l.a, 'pending') AS action FROM report LEFT JOIN l ON l.doc_id = row_id")
+def reevaluate_dry_run(spark, sf_dir):
+    old = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("row_id"), F.lit("kept").alias("new_translation"), F.when(F.col("quality") == 1, " retranslated").otherwise("flagged").alias("action"))
+    return passes.reevaluate(output_table(spark, sf_dir), old, None, "cell")[1].select("row_id", "suspicion_score", "new_translation", "action")
+
+
+@query(f"WITH {_SELECTED} SELECT row_id, label, CASE WHEN action = 'missing_row' THEN action ELSE 'success' END AS action FROM picked")
+def selected_pass(spark, sf_dir):
+    """Chosen rows, emptied first and translated again."""
+    out = output_table(spark, sf_dir)
+    ids = table(spark, sf_dir, "benchmark").select((F.col("item_id") * 7).alias("row_id")).union(spark.range(-1, 0).toDF("row_id"))
+    return passes.selected_pass(ids, out.drop("cell"), out.where("row_id % 5 <> 0"), None, translate.whispering_backend, "cell", blank_on_start=True)[1].select("row_id", "label", "action")
+
+
+@query(f"""WITH {SURE} SELECT row_id, 'success' AS action, label FROM named WHERE high_confidence_reason IS NOT NULL""")
+def high_confidence_pass(spark, sf_dir):
+    sure = qa.sure_report(qa.suspicious(pairs(spark, sf_dir)))
+    return passes.rerun_report(output_table(spark, sf_dir), sure, "high-confidence", translate.whispering_backend, "cell")[1].select("row_id", "action", "label")
+
+
+@query("SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN md5(trim(lang)) WHEN doc_id % 3 = 1 THEN md5('```' || lang || '```') ELSE md5('```csv' || chr(10) || lang) END AS inside FROM documents")
+def fences(spark, sf_dir):
+    i, x = F.col("doc_id") % 3, F.col("lang")
+    given = F.when(i == 0, F.concat(F.lit(" ```json\n "), x, F.lit("\n\n``` "))).when(i == 1, F.concat(F.lit("```"), x, F.lit("```"))).otherwise(F.concat(F.lit("```csv\n"), x))
+    return table(spark, sf_dir, "documents").select("doc_id", F.md5(T.without_fence(given)).alias("inside"))
