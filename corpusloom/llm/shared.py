@@ -5,14 +5,14 @@ from __future__ import annotations
 import contextlib
 import ctypes
 import gc
-import tempfile
-import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from corpusloom.storage import spent, written  # noqa: F401
+
 #: A side of a join is broadcast only if it has been counted and has at most so many (narrow) rows.
 BROADCAST_ROWS = 200_000
 #: ... and so many bytes of strings and binaries.
@@ -27,42 +27,18 @@ SPACE = r"[\x20\x09-\x0D]"
 WORD = r"[^\x20\x09-\x0D]+"
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir. Where that is unset, a local session (tests) gets a
-    folder of its own; on a cluster it has to be set, as executors cannot read the driver's folders."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("spark.checkpoint.dir has to name a folder that driver and executors share")
-        folder = tempfile.mkdtemp(prefix="corpusloom-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
-
-
 def cut(df: DataFrame, label: str) -> DataFrame:
     """Writes df to the shared folder and reads it back: ends its lineage, and fixes generated ids.
 
     The files outlive executors. They stay until spent() or until the folder is cleaned, as a lazy result may still read them.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark).rstrip('/')}/corpusloom/{label}-{uuid.uuid4().hex}.parquet"
     rows = spark.conf.get(_BATCH)
     spark.conf.set(_BATCH, str(min(int(rows), BATCH_ROWS) if int(rows) > 0 else BATCH_ROWS))
     try:
-        df.write.parquet(path)
+        return written(df, label)
     finally:
         spark.conf.set(_BATCH, rows)
-    out = spark.read.schema(df.schema).parquet(path)
-    out.cut_path = path
-    return out
-
-
-def spent(*tables: DataFrame) -> None:
-    """Deletes the files of results of cut() that nothing reads any more."""
-    for table in tables:
-        spark = table.sparkSession
-        path = spark._jvm.org.apache.hadoop.fs.Path(table.cut_path)
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def small(df: DataFrame, rows: int = BROADCAST_ROWS, most_bytes: int = BROADCAST_BYTES) -> DataFrame:
