@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.llm.shared import apart, cut, restored, small
-from corpusloom.llm.spans import SPAN, free_of, listed, matches, replaced, spans
+from corpusloom.llm.spans import SPAN, found_sql, free_of, listed, listed_sql, matches, replaced, spans
 
 #: Fixed by the contract. Runs that the first part could only leave are searched for from their first character, or from
 #: the end of the match before; the rest does not backtrack.
@@ -136,3 +136,25 @@ def sanitise(searched: DataFrame, docs: DataFrame, id_col: str = "doc_id", text_
     joined = own.join(searched.select("doc_id", "spans"), F.col(row_id).eqNullSafe(F.col("doc_id")), "left")
     word = "CASE x.kind WHEN 'remove' THEN '' WHEN 'generalise' THEN '[TERM]' ELSE concat('[', upper(x.kind), ']') END"
     return restored(joined.withColumn(text, F.when(F.size("spans") > 0, replaced(text, "spans", word)).otherwise(F.col(text))), docs)
+
+
+_DIGITS = "regexp_replace(v, '[^0-9]', '', 'g')"
+_LUHN = "list_sum(list_transform(range(1, length(x) + 1), lambda i: CASE WHEN i % 2 = 1 THEN substr(x, i, 1)::INT ELSE 2 * substr(x, i, 1)::INT - CASE WHEN substr(x, i, 1)::INT > 4 THEN 9 ELSE 0 END END)) % 10 = 0"
+#: The same with plain patterns, pairs of single entities and terms, and no bounds before the estimate.
+SQL = rf"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t FROM documents),
+e AS ({found_sql("email", 0, "[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:[.][A-Za-z0-9-]+)+")}), i AS ({found_sql("ip", 1, "[0-9]+(?:[.][0-9]+)(?:[.][0-9]+)(?:[.][0-9]+)")}),
+c AS ({found_sql("card", 2, "[0-9](?:[ -]?[0-9])+")}), p AS ({found_sql("phone", 3, "[+][0-9][ ().0-9-]+[0-9]")}),
+b AS (SELECT * FROM e UNION ALL SELECT * FROM i WHERE list_bool_and(list_transform(string_split(v, '.'), lambda x: length(ltrim(x, '0')) <= 3 AND coalesce(try_cast(ltrim(x, '0') AS INT), 0) <= 255))
+ UNION ALL SELECT * EXCLUDE x FROM (SELECT *, reverse({_DIGITS}) AS x FROM c) WHERE length(x) BETWEEN 12 AND 19 AND {_LUHN} UNION ALL SELECT * FROM p WHERE length({_DIGITS}) BETWEEN 9 AND 15),
+l AS ({found_sql("term", 4, "[\\p{L}]+").replace("FROM d)", "FROM d WHERE rid IN (SELECT rid FROM b))")}),
+w AS (SELECT *, lower(v) AS term FROM l WHERE NOT EXISTS (SELECT 1 FROM b WHERE b.rid = l.rid AND b.start < l.stop AND l.start < b.stop)),
+n AS (SELECT term, count(*) AS n_term FROM (SELECT DISTINCT rid, unnest(list_transform(regexp_extract_all(t, '[\p{{L}}]+'), lambda x: lower(x))) AS term FROM d) GROUP BY term),
+h AS (SELECT DISTINCT rid, v AS entity FROM b), m AS (SELECT entity, count(*)::DOUBLE / (SELECT count(*) FROM d) AS usual FROM h GROUP BY entity),
+q AS (SELECT entity, term, count(*) AS both_n FROM h JOIN (SELECT DISTINCT rid, term FROM w) USING (rid) GROUP BY entity, term),
+r AS (SELECT entity, term, CASE WHEN usual < 1 THEN 1 - ln((both_n + {PRIOR} * usual) / (n_term + {PRIOR})) / ln(usual) ELSE 0 END AS share FROM q JOIN m USING (entity) JOIN n USING (term)),
+x AS (SELECT rid, term, max(share) AS share FROM h JOIN r USING (entity) WHERE share >= {GENERALISE}::DOUBLE GROUP BY rid, term),
+s AS (SELECT rid, ord, kind, start, stop FROM b UNION ALL SELECT w.rid, CASE WHEN share >= {REMOVE}::DOUBLE THEN 5 ELSE 4 END, CASE WHEN share >= {REMOVE}::DOUBLE THEN 'remove' ELSE 'generalise' END, start, stop FROM w JOIN x USING (rid, term))
+SELECT any_value(doc_id) AS doc_id, count(*) FILTER (WHERE ord = 0) AS n_email, count(*) FILTER (WHERE ord = 1) AS n_ip, count(*) FILTER (WHERE ord = 2) AS n_card, count(*) FILTER (WHERE ord = 3) AS n_phone,
+ sha256({listed_sql("ord < 4")}) AS base_sha256, {listed_sql("ord IS NOT NULL")} AS spans FROM d LEFT JOIN s USING (rid) GROUP BY rid
+"""

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm import exact_dedup, mixing, url_filter
+from corpusloom.llm import exact_dedup, mixing, pii, secrets, url_filter
 from corpusloom.llm.bpe import encode_decode
 from corpusloom.llm.language_id import fit, predict_languages
 from corpusloom.llm.media import media_features
@@ -75,4 +75,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_mixing": mixing.SQL, "op7_exact_dedup": exact_dedup.SQL, "op9_url_filter": url_filter.SQL}
+    return {"op3_mixing": mixing.SQL, "op5_secrets": secrets.SQL, "op6_pii": pii.SQL, "op7_exact_dedup": exact_dedup.SQL, "op9_url_filter": url_filter.SQL}

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.llm.shared import apart, cut, restored, small
-from corpusloom.llm.spans import SPAN, free_of, listed, matches, replaced, spans
+from corpusloom.llm.spans import SPAN, found_sql, free_of, listed, listed_sql, matches, replaced, spans
 
 #: Fixed by the contract. A run of hex digits is only searched for from its first digit and if long enough.
 ASSIGN = r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -92,3 +92,18 @@ def mask_secrets(scanned: DataFrame, docs: DataFrame, id_col: str = "doc_id", te
     own, row_id, text = apart(docs, id_col, text_col)
     joined = own.join(live, F.col(row_id).eqNullSafe(F.col("doc_id")), "left")
     return restored(joined.withColumn(text, F.when(F.size("spans") > 0, replaced(text, "spans", "'[SECRET]'")).otherwise(F.col(text))), docs)
+
+
+#: Runs that the patterns above find from their first character are taken whole here, and filtered by length.
+SQL = rf"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, split_part(source, '/', 1) AS owner, coalesce(text, '') AS t FROM documents),
+a AS ({found_sql("assign", 0, ASSIGN)}), k AS ({found_sql("access", 1, ACCESS)}), h AS ({found_sql("hex", 2, "[0-9a-f]+")}), g AS ({found_sql("generic", 3, "[A-Za-z0-9+/_=-]+")}),
+f AS (SELECT * FROM (SELECT * REPLACE (regexp_extract(v, '^[^:=]*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)$', 1) AS v) FROM a) WHERE length(v) >= 6 UNION ALL SELECT * FROM k WHERE length(v) >= 20 UNION ALL SELECT * FROM h WHERE length(v) >= 24
+ UNION ALL SELECT * FROM g WHERE length(v) >= 20 AND regexp_matches(v, '[0-9]') AND regexp_matches(v, '[A-Za-z]') AND len(list_distinct(string_split(v, ''))) >= {GENERIC_KINDS}),
+o AS (SELECT v, count(DISTINCT owner) + max((owner IS NULL)::INT) >= {EXAMPLE_OWNERS} AS example FROM f JOIN d USING (rid) GROUP BY v),
+j AS (SELECT f.*, example FROM f JOIN o USING (v)),
+s AS (SELECT * FROM j WHERE ord < 3 OR (NOT example AND NOT EXISTS (SELECT 1 FROM j b WHERE b.rid = j.rid AND b.ord < 3 AND b.start < j.stop AND j.start < b.stop)))
+SELECT any_value(doc_id) AS doc_id, count(*) FILTER (WHERE ord = 0) AS n_assign, count(*) FILTER (WHERE ord = 1) AS n_access, count(*) FILTER (WHERE ord = 2) AS n_hex,
+ sha256({listed_sql("ord < 3")}) AS base_sha256, {listed_sql("ord IS NOT NULL")} AS spans, count(*) FILTER (WHERE NOT example) AS n_live, count(*) FILTER (WHERE example) AS n_example
+FROM d LEFT JOIN s USING (rid) GROUP BY rid
+"""

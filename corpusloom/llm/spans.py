@@ -73,3 +73,18 @@ def replaced(text: str, marks: str, word: str) -> Column:
 def listed(spans_col: str) -> Column:
     """kind:start:end of the sorted spans, joined by commas."""
     return F.expr(f"array_join(transform({spans_col}, x -> concat(x.kind, ':', x.start, ':', x.end)), ',')")
+
+
+def found_sql(kind: str, order: int, pattern: str) -> str:
+    """DuckDB SQL of the matches of a pattern in the table d (rid, t): rid, ord, kind, start, stop, v. Starts are summed up from
+    the pieces and matches before, as above."""
+    quoted = pattern.replace("'", "''")
+    rows = f"SELECT rid, unnest(m) AS v, unnest(p[1:len(m)]) AS p, unnest(range(len(m))) AS i FROM (SELECT rid, regexp_extract_all(t, '{quoted}') AS m, string_split_regex(t, '{quoted}') AS p FROM d)"
+    steps = f"SELECT rid, v, i, length(p) + coalesce(lag(length(v)) OVER (PARTITION BY rid ORDER BY i), 0) AS step FROM ({rows})"
+    starts = f"SELECT rid, v, (sum(step) OVER (PARTITION BY rid ORDER BY i))::BIGINT AS start FROM ({steps})"
+    return f"SELECT rid, {order} AS ord, '{kind}' AS kind, start, start + length(v) AS stop, v FROM ({starts})"
+
+
+def listed_sql(where: str = "true") -> str:
+    """kind:start:end of a group's rows, as listed()."""
+    return f"coalesce(string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, ord) FILTER (WHERE {where}), '')"

@@ -450,6 +450,19 @@ def test_long_texts_take_seconds(spark):
     assert time.monotonic() - started < 120
 
 
+@pytest.mark.parametrize(("query", "sql", "made"), [("op5_secrets", secret_scan.SQL, SECRETS), ("op6_pii", pii.SQL, PERSONAL)])
+def test_span_sql(spark, tmp_path, query, sql, made):
+    """Base spans, ownership and disclosure against SQL: made texts, nulls, repeated rows, shared values and terms."""
+    texts = [*made, None, "", *(f"owner {k} token=Shared0Example1Value call Jonquil at j@x.org or Zx9Kq83LmN04pQrStUv7w" for k in range(4)), *(f"plain words {k} only" for k in range(20))]
+    docs = docs_of(spark, [(k, t, "en", [None, "a/x", "a/y", "b"][k % 4]) for k, t in enumerate([*texts, texts[0]])])
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    result = con.execute(sql)
+    names = [c[0] for c in result.description]
+    assert sorted(tuple(r[n] for n in names) for r in queries.queries()[query](spark, str(tmp_path)).collect()) == sorted(result.fetchall())
+
+
 @pytest.mark.parametrize("seed", range(4))
 def test_overlaps_and_replacement_brute_force(spark, seed):
     rng = np.random.default_rng(seed)
