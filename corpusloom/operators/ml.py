@@ -1,16 +1,18 @@
-"""Text classification: split, balance, TF-IDF features, four classifiers and their comparison, on pyspark.ml."""
+"""Text classification: split, balance, TF-IDF features, four classifiers and their comparison, three of them of pyspark.ml."""
 
 from __future__ import annotations
 
 import numpy as np
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import DecisionTreeClassifier, GBTClassifier, LogisticRegression, NaiveBayes, OneVsRest
+from pyspark.ml.classification import DecisionTreeClassifier, LogisticRegression, NaiveBayes, OneVsRest
 from pyspark.ml.feature import Binarizer, CountVectorizer, ElementwiseProduct, IDF, NGram, Normalizer, RegexTokenizer, SQLTransformer, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from corpusloom.operators.boosting import Boosting
+
 TEST_SHARE, VOCABULARY, SEED = 0.2, 50_000, 101
 
 
@@ -82,16 +84,16 @@ def features(train: DataFrame, text: str, numeric: list[str], vocabulary: int =
     return PipelineModel(stages=[*first.stages, *last])
 
 
-def classifiers(rows: int, rounds: int = 500) -> dict[str, object]:
-    """The four classifiers with their settings; rounds is the number of boosting rounds."""
+def classifiers(rows: int, key: str, rounds: int = 500) -> dict[str, object]:
+    """The four classifiers with their settings; rounds is the number of boosting rounds. Boosting is fitted on the rows whose
+    keys have the smallest hashes (boosting.SAMPLE), the others on all."""
     common = {"featuresCol": "features", "labelCol": "y"}
     lasso = LogisticRegression(elasticNetParam=1.0, regParam=1.0 / (10.0 * max(rows, 1)), standardization=False, maxIter=50)
-    boost = GBTClassifier(stepSize=0.2, maxDepth=7, maxIter=rounds, seed=SEED)
     return {
         "bernoulli_nb": Pipeline(stages=[Binarizer(threshold=0.0, inputCol="features", outputCol="_on"), NaiveBayes(modelType="bernoulli", smoothing=0.1, featuresCol="_on", labelCol="y")]),
         "decision_tree": DecisionTreeClassifier(maxDepth=9, minInstancesPerNode=2, seed=SEED, **common),
         "logistic_regression": OneVsRest(classifier=lasso, **common),
-        "gradient_boosting": OneVsRest(classifier=boost, **common),
+        "gradient_boosting": Boosting(key, rounds),
     }
 
 
@@ -101,12 +103,12 @@ def evaluated(df: DataFrame, key: str, text: str, label: str, numeric: list[str]
     train, test = parts.where("NOT in_test"), parts.where("in_test")
     index = StringIndexer(inputCol=label, outputCol="y", stringOrderType="alphabetAsc", handleInvalid="skip").fit(train)
     model = features(train, text, numeric, vocabulary)
-    ready = model.transform(index.transform(oversampled(train, label, key))).select("y", "features").persist()
+    ready = model.transform(index.transform(oversampled(train, label, key))).select(key, "y", "features").persist()
     asked = model.transform(index.transform(test)).select(key, label, "features")
     names_of = F.array(*map(F.lit, index.labels))
     out = None
     for name in names:
-        fitted = classifiers(ready.count(), rounds)[name].fit(ready)
+        fitted = classifiers(ready.count(), key, rounds)[name].fit(ready)
         said = fitted.transform(asked).select(F.lit(name).alias("classifier"), key, F.col(label).alias("actual"), F.element_at(names_of, F.col("prediction").cast("int") + 1).alias("predicted"))
         out = said if out is None else out.unionByName(said)
     ready.unpersist()

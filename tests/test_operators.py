@@ -6,15 +6,17 @@ import json
 import os
 
 import duckdb
+import numpy as np
 import pandas as pd
 import pytest
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from corpusloom import cli
 from corpusloom.config import TranslateConfig
 from corpusloom.functions import text as T
 from corpusloom.functions.chunking import chunks_of
-from corpusloom.operators import eda, ml, qa, reports, translate
+from corpusloom.operators import boosting, eda, ml, qa, reports, translate
 from corpusloom.plans import passes
 from corpusloom.queries import QUERIES, SQL
 from corpusloom.shipping import ship
@@ -364,8 +366,45 @@ def asked_of_models(monkeypatch, spark, name):
     return asked[0]
 
 
+def sparse(table):
+    return [{"indices": np.flatnonzero(r), "values": r[np.flatnonzero(r)]} if k % 2 else {"indices": None, "values": r} for k, r in enumerate(table)]
+
+
+def test_boosting_split():
+    """The best split of all features and values, zeros and negative ones included, against plain loops."""
+    draw = np.random.default_rng(7)
+    for _ in range(20):
+        table = draw.integers(-3, 4, (60, 6)) * (draw.random((60, 6)) < 0.5) * 1.0
+        rows, g, h = np.sort(draw.choice(60, 40, replace=False)), draw.normal(size=40), draw.uniform(0.05, 0.25, 40)
+        score = lambda m: g[m].sum() ** 2 / (h[m].sum() + boosting.SHRINK)
+        every = np.ones(40, bool)
+        gains = [score(left) + score(~left) - score(every) for f in range(6) for t in np.unique(table[:, f])
+                 for left in [table[rows, f] <= t] if min(h[left].sum(), h[~left].sum()) >= boosting.LEAST]
+        feature, bound, right = boosting.Binned(sparse(table)).split(rows, g, h)
+        assert (right == (table[rows, feature] > bound)).all()
+        assert abs(score(right) + score(~right) - score(every) - max(gains)) < 1e-9
+    assert boosting.Binned([]).split(np.empty(0, int), np.empty(0), np.empty(0)) is None
+
+
+def test_boosting(spark):
+    """What trees say of their own rows is what they were fitted to; a table is learned as its rule says, whatever its columns."""
+    draw = np.random.default_rng(3)
+    table = draw.integers(0, 3, (120, 5)) * 1.0
+    y = ((table[:, 0] > 1) ^ (table[:, 2] > 0)) * 1.0
+    trees = boosting.grown(boosting.Binned(sparse(table)), y, 40, 4, 0.2)
+    assert ((boosting.margins(trees, sparse(table)) > 0) == (y > 0)).all()
+    rows = [(i, float(c), Vectors.dense(r) if i % 2 else Vectors.sparse(5, [(j, v) for j, v in enumerate(r) if v])) for i, (r, c) in enumerate(zip(table, y, strict=True))]
+    df = spark.createDataFrame(rows, ["k", "y", "features"])
+    model = boosting.Boosting("k", rounds=40, depth=4).fit(df)
+    assert sorted(model.models) == [0.0, 1.0]
+    said = model.transform(df.withColumn("a b", F.lit(None).cast("string")))
+    assert said.columns == ["k", "y", "a b", "prediction"] and said.where("y <> prediction").count() == 0
+    none = boosting.Boosting("k", rounds=2).fit(df.limit(0))
+    assert none.models == {} and none.transform(df.limit(2)).where("prediction IS NULL").count() == 2
+
+
 def test_all_classifiers_compared(monkeypatch, spark):
-    assert asked_of_models(monkeypatch, spark, "classifier_comparison")[0] == sorted(ml.classifiers(1))
+    assert asked_of_models(monkeypatch, spark, "classifier_comparison")[0] == sorted(ml.classifiers(1, "k"))
 
 
 @pytest.mark.parametrize("name", ["nb_eval", "tree_eval", "logreg_eval", "gbt_eval", "classifier_comparison"])
