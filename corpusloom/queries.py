@@ -278,21 +278,24 @@ def pending_batches(spark, sf_dir):
     return reports.batch_bounds(reports.batched(reports.pending(output_table(spark, sf_dir), "cell").select("row_id"), 8))
 
 
-def queue_table(spark, sf_dir, reason: str, keep: str):
-    df = table(spark, sf_dir, "documents").where(keep)
-    return df.select(F.when(F.col("doc_id") % 11 == 0, F.lit("x")).otherwise(F.col("doc_id").cast("string")).alias("row_id"), F.col("lang").alias("label"), F.lit(reason).alias("reason"), F.length("text").alias("text_length"))
+def queue_table(spark, sf_dir):
+    """All documents as a queue, and all benchmark items as rows whose ids are no numbers."""
+    docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    old = docs.select(F.col("doc_id").cast("string").alias("row_id"), F.col("lang").alias("label"), F.lit("old").alias("reason"), F.length("text").alias("text_length"))
+    return old.unionAll(items.select(F.concat(F.lit("x"), F.col("item_id")), F.lit("item"), F.lit("old"), F.length("text")))
 
 
-@query("WITH q AS (SELECT doc_id, lang, length(text) AS l, 'old' AS reason, 0 AS age FROM documents WHERE doc_id % 3 = 0 AND doc_id % 11 <> 0 UNION ALL SELECT doc_id, lang, length(text), 'new', 1 FROM documents WHERE doc_id % 4 = 0 AND doc_id % 11 <> 0)"
-       " SELECT doc_id AS row_id, lang AS label, reason, l AS text_length FROM q QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY age DESC) = 1")
+@query("WITH q AS (SELECT doc_id, lang AS label, length(text) AS l, 'old' AS reason, 0 AS age FROM documents UNION ALL SELECT doc_id, 'quality ' || quality, toxic, 'new', 1 FROM labels)"
+       " SELECT doc_id AS row_id, label, reason, l AS text_length FROM q QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY age DESC) = 1")
 def problem_queue_upsert(spark, sf_dir):
-    return reports.queue_upsert(queue_table(spark, sf_dir, "old", "doc_id % 3 = 0"), queue_table(spark, sf_dir, "new", "doc_id % 4 = 0")).select("row_id", "label", "reason", "text_length")
+    new = table(spark, sf_dir, "labels").select(F.col("doc_id").cast("string").alias("row_id"), F.concat(F.lit("quality "), F.col("quality")).alias("label"), F.lit("new").alias("reason"), F.col("toxic").cast("int").alias("text_length"))
+    return reports.queue_upsert(queue_table(spark, sf_dir), new).select("row_id", "label", "reason", "text_length")
 
 
-@query("SELECT CASE WHEN doc_id % 11 = 0 THEN 'x' ELSE doc_id::VARCHAR END AS row_id, lang AS label FROM documents WHERE doc_id % 3 = 0 AND (doc_id % 11 = 0 OR doc_id NOT IN (SELECT doc_id FROM labels))")
+@query("SELECT doc_id::VARCHAR AS row_id, lang AS label FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels) UNION ALL SELECT 'x' || item_id, 'item' FROM benchmark")
 def queue_resolve_anti(spark, sf_dir):
     resolved = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("row_id"))
-    return reports.queue_without(queue_table(spark, sf_dir, "old", "doc_id % 3 = 0"), resolved).select("row_id", "label")
+    return reports.queue_without(queue_table(spark, sf_dir), resolved).select("row_id", "label")
 
 
 @query(f"WITH {PAIRS} SELECT l.doc_id AS row_id, l.quality FROM labels l JOIN pairs p ON p.row_id = l.doc_id WHERE {strip_sql('p.current_translation')} = ''")
@@ -485,16 +488,9 @@ def stub_translate(spark, sf_dir):
     return translate.translated(todo, translate.whispering_backend).select("row_id", F.md5("new_text").alias("cell"), "state")
 
 
-@query("SELECT doc_id AS row_id, md5(lower(text)) AS cell, 'success' AS state FROM documents WHERE length(text) < 500 AND NOT regexp_matches(text, '\\s{2}|\\n|^\\s|\\s$')")
-def adaptive_backoff(spark, sf_dir):
-    ship(spark)
-    docs = table(spark, sf_dir, "documents").where(r"length(text) < 500 AND NOT text RLIKE '\\s{2}|\\n|^\\s|\\s$'").select(F.col("doc_id").alias("row_id"), F.col("lang").alias("label"), F.col("text").alias("source_text"))
-    return translate.translated(docs, translate.failing_over(900)).select("row_id", F.md5("new_text").alias("cell"), "state")
-
-
 @query()
-def adaptive_backoff_whole(spark, sf_dir):
-    """The same for all documents and whole texts: single rows that still fail are rescued in chunks, which SQL cannot."""
+def adaptive_backoff(spark, sf_dir):
+    """All documents and whole texts: batches halve, and single rows that still fail are rescued in chunks, which SQL cannot."""
     ship(spark)
     docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("row_id"), F.col("lang").alias("label"), F.col("text").alias("source_text"))
     return translate.translated(docs, translate.failing_over(900)).select("row_id", F.md5("new_text").alias("cell"), "state")

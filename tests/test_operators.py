@@ -293,7 +293,7 @@ def test_csv_and_ods(spark, tmp_path):
         tables.write_new(df, str(tmp_path / "r"))
 
 
-def test_adaptive_backoff_whole(spark, tmp_path):
+def test_adaptive_backoff(spark, tmp_path):
     """All documents, long and many-lined too, against a plain loop: what fits the model in one row, else chunks of it."""
     config = TranslateConfig()
     line = "Some Words of a sentence. And Another one,\n  with two lines! "
@@ -317,7 +317,7 @@ def test_adaptive_backoff_whole(spark, tmp_path):
             want[i] = text.lower().strip() if alone else "\n\n".join(rescued(c, config.chunk_chars) for c in chunks_of(text, config.chunk_chars)).strip()
         except ValueError:
             want[i] = None
-    got = {r["row_id"]: r for r in QUERIES["adaptive_backoff_whole"](spark, str(tmp_path)).collect()}
+    got = {r["row_id"]: r for r in QUERIES["adaptive_backoff"](spark, str(tmp_path)).collect()}
     assert set(got) == set(want) and want[5] and want[5].count("\n\n") > 10
     for i, text in want.items():
         assert (got[i]["state"] == "success") == (text is not None), (i, got[i])
