@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 from corpusloom.operators.boosting import Boosting
 
 TEST_SHARE, VOCABULARY, SEED = 0.2, 50_000, 101
+#: Classes whose logistic regressions are fitted at once. Each keeps its own blocks of the training rows, in memory or on disk.
+FITS = 4
 
 
 def _hashed(key: str, seed: str) -> Column:
@@ -92,7 +94,7 @@ def classifiers(rows: int, key: str, rounds: int = 500) -> dict[str, object]:
     return {
         "bernoulli_nb": Pipeline(stages=[Binarizer(threshold=0.0, inputCol="features", outputCol="_on"), NaiveBayes(modelType="bernoulli", smoothing=0.1, featuresCol="_on", labelCol="y")]),
         "decision_tree": DecisionTreeClassifier(maxDepth=9, minInstancesPerNode=2, seed=SEED, **common),
-        "logistic_regression": OneVsRest(classifier=lasso, **common),
+        "logistic_regression": OneVsRest(classifier=lasso, parallelism=FITS, **common),
         "gradient_boosting": Boosting(key, rounds),
     }
 
