@@ -309,13 +309,15 @@ def _linked(docs: DataFrame, words: int, percent: int, id_col: str, text_col: st
     spark = docs.sparkSession
     ship(spark)
     made = docs.select(*_identity(docs, id_col, text_col)).mapInArrow(_prefixes(words, percent), "doc_id long, text_hash long, n long, key binary, prefix array<long>")
-    rows = cut(made.withColumn("row", F.monotonically_increasing_id()), "prefixes")
+    made = cut(made.withColumn("row", F.monotonically_increasing_id()), "prefixes")
+    rows = cut(made.drop("prefix"), "rows")  # these stay, the prefixes go when the classes have chosen among them
     grouped = rows.where("n > 0").groupBy("key").agg(F.first("n").alias("n"), F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("class_size"), F.min(F.struct("row", "doc_id", "text_hash")).alias("one"))
     classes = cut(grouped.select("key", "n", "least", "class_size", F.col("one.row").alias("node"), F.col("one.doc_id").alias("_id"), F.col("one.text_hash").alias("_hash")), "classes")
     copied = cut(classes.where("class_size > 1").select("key", "node", "class_size"), "copied")
     copies = cut(matched(rows.select("key", "row"), "key", copied, "class_size", F.col("row")).where("row <> node").select("row"), "copies")
-    prefixes = rows.where("n > 0").select(F.col("row").alias("node"), "n", "prefix").join(small(copies), F.col("node") == F.col("row"), "left_anti")
+    prefixes = made.where("n > 0").select(F.col("row").alias("node"), "n", "prefix").join(small(copies), F.col("node") == F.col("row"), "left_anti")
     kept = cut(_kept_prefixes(prefixes, percent), "kept")
+    spent(made, copies)
     postings = kept.select("node", "n", "k", F.explode("tokens").alias("t")).select("node", "n", "k", "t.token")
     buckets = cut(_buckets(postings), "buckets")
     active = cut(matched(postings, "token", buckets, "size", F.col("node")).where("size IS NOT NULL"), "postings")
@@ -372,7 +374,7 @@ def _linked(docs: DataFrame, words: int, percent: int, id_col: str, text_col: st
     named = cut(classes.join(final, "node", "left").where("class_size > 1 OR component IS NOT NULL").select("key", "node", "least", "class_size", F.coalesce("component", "node").alias("component")), "named")
     smallest = cut(named.groupBy("component").agg(F.min("least").alias("component_id"), F.count(F.lit(1)).alias("m")), "smallest")
     labels = cut(matched(named, "component", smallest, "m", F.col("node")).select("key", "class_size", "component_id", "component"), "labels")
-    spent(copied, copies, kept, buckets, active, homes, chosen, sets, known, several, open_, ranked, shapes, heavy, light, left, pairs, asked, more, named, smallest)
+    spent(copied, kept, buckets, active, homes, chosen, sets, known, several, open_, ranked, shapes, heavy, light, left, pairs, asked, more, named, smallest)
     out = matched(rows.select("row", "doc_id", "text_hash", "n", "key"), "key", labels, "class_size", F.col("row"))
     alone = F.col("class_size").isNull()
     return out.select("row", "doc_id", "text_hash", F.col("n").alias("n_shingles"), F.when(alone, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"), F.coalesce("class_size", F.lit(1)).cast("long").alias("class_size"), "component")

@@ -139,11 +139,12 @@ def score_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", te
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", path_cols: tuple[str, ...] = ("lang",)) -> DataFrame:
-    """docs without the rows that score_quality would not keep, all columns kept; the same cases."""
+    """docs without the rows that score_quality would not keep, all columns kept; the same cases. Evidence is computed twice, as
+    storing it means to store whole documents until nobody reads the result."""
     model = fit_evidence(docs, labels, id_col=id_col, text_col=text_col)
     own, text, source, *paths = apart(docs, text_col, source_col, *path_cols)
     host, path = _sites(own, source, tuple(paths))
-    rows = cut(own.withColumns({"host": host, "path": path, "p": model.probability(features(F.col(text)))}), "scored")
+    rows = own.withColumns({"host": host, "path": path, "p": model.probability(features(F.col(text)))})
     sites, mean = site_posteriors(rows.select("host", "path", "p"))
     joined = rows.join(small(sites), ["host", "path"])
     return restored(joined.where(combined(F.col("p"), mean) >= KEEP), docs)

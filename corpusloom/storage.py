@@ -7,6 +7,9 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Whether a query's shuffle files go when it ends, and not when the driver's collector happens to find them unused.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: spark.checkpoint.dir. Where that is unset, a local session (tests) gets a
@@ -21,10 +24,17 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def written(df: DataFrame, label: str) -> DataFrame:
-    """df written to the shared folder and read back. The files stay until that folder is cleaned, or spent()."""
-    path = f"{shared_dir(df.sparkSession).rstrip('/')}/corpusloom/{label}-{uuid.uuid4().hex}.parquet"
-    df.write.parquet(path)
-    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    """df written to the shared folder and read back. The files stay until that folder is cleaned, or spent(); what was shuffled
+    to make them goes at once."""
+    spark = df.sparkSession
+    path = f"{shared_dir(spark).rstrip('/')}/corpusloom/{label}-{uuid.uuid4().hex}.parquet"
+    kept = spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.unset(_CLEANUP) if kept is None else spark.conf.set(_CLEANUP, kept)
+    out = spark.read.schema(df.schema).parquet(path)
     out.cut_path = path
     return out
 

@@ -96,6 +96,39 @@ def test_storage(spark, tmp_path):
     assert hinted(shared.small(wide)) and not hinted(shared.small(wide, most_bytes=299)) and not hinted(shared.small(wide, rows=2))
 
 
+def shuffled(spark, until=None) -> set[str]:
+    """Names of the shuffle files on disk; waits a little for them to become `until`, as Spark deletes them by messages."""
+    blocks = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    for _ in range(40):
+        found = {Path(f).name for f in blocks.getAllFiles().mkString("\n").split("\n") if Path(f).name.startswith("shuffle_")}
+        if until is None or found <= until:
+            break
+        time.sleep(0.25)
+    return found
+
+
+def test_written_tables_leave_no_shuffle_files(spark):
+    """What was shuffled to write a table is not kept on disk until the driver's collector runs."""
+    before, name = shuffled(spark), "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    setting = spark.conf.get(name, None)
+    table = shared.cut(spark.range(20_000).groupBy((F.col("id") % 7919).alias("key")).agg(F.count(F.lit(1)).alias("n")), "test")
+    assert shuffled(spark, before) <= before and spark.conf.get(name, None) == setting
+    assert table.count() == 7919 and table.agg(F.sum("n")).first()[0] == 20_000
+
+
+def test_stages_leave_no_documents(spark, monkeypatch):
+    """Neither does the quality stage store whole documents, nor do prefixes outlive the join."""
+    tables = []
+    for module in (quality, ngram_join):
+        monkeypatch.setattr(module, "cut", lambda df, label: tables.append(shared.cut(df, label)) or tables[-1])
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.001/{t}.parquet") for t in ("documents", "labels"))
+    good = quality.keep_good(docs, labels).count()
+    linked = ngram_join.link_documents(docs).count()
+    assert 0 < good <= linked == docs.count()
+    left = [t.columns for t in tables if Path(t.cut_path).exists()]
+    assert left and not any("prefix" in c or any(x.startswith("own_") for x in c) for c in left)
+
+
 # 1 media
 
 
