@@ -237,10 +237,11 @@ def _identity(docs: DataFrame, id_col: str, text_col: str) -> list[Column]:
 
 
 def _kept_prefixes(prefixes: DataFrame, percent: int) -> DataFrame:
-    """node, n, k and tokens (array of structs df, token: the rarest of the prefix that others have too) of live classes.
-    prefixes has node, n and prefix."""
+    """node, n, k and tokens (array of structs df, token: the rarest of the prefix that others have too) of live classes,
+    written. prefixes has node, n and prefix. The frequent tokens are written first, so that the shuffle that counted them is
+    gone when postings are shuffled to meet them."""
     postings = prefixes.select("node", F.explode("prefix").alias("token"))
-    frequent = postings.groupBy("token").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
+    frequent = cut(postings.groupBy("token").agg(F.count(F.lit(1)).alias("df")).where("df > 1"), "frequent")
     others = postings.join(frequent, "token").groupBy("node").agg(F.sort_array(F.collect_list(F.struct("df", "token"))).alias("found"))
     least = _sql_shared("n", percent)
     sized = prefixes.select("node", "n", F.expr(f"int(n - {_sql_needed('n', percent)} + {_sql_shared('n', percent)})").alias("p"))
@@ -251,7 +252,9 @@ def _kept_prefixes(prefixes: DataFrame, percent: int) -> DataFrame:
     # a class may need up to as many matches as it shares at least
     costs = [f"if(l >= {k}, {cost(k)}, double('infinity'))" for k in range(1, MATCHES + 1)]
     best = live.withColumn("costs", F.expr(f"array({', '.join(costs)})")).withColumn("k", F.expr("int(greatest(1, array_position(costs, array_min(costs))))"))
-    return best.select("node", "n", "k", F.expr(f"slice(found, 1, int({length('k')}))").alias("tokens")).where("size(tokens) > 0")
+    kept = cut(best.select("node", "n", "k", F.expr(f"slice(found, 1, int({length('k')}))").alias("tokens")).where("size(tokens) > 0"), "kept")
+    spent(frequent)
+    return kept
 
 
 def _blocks(rows: str, weight: str) -> Column:
@@ -316,7 +319,7 @@ def _linked(docs: DataFrame, words: int, percent: int, id_col: str, text_col: st
     copied = cut(classes.where("class_size > 1").select("key", "node", "class_size"), "copied")
     copies = cut(matched(rows.select("key", "row"), "key", copied, "class_size", F.col("row")).where("row <> node").select("row"), "copies")
     prefixes = made.where("n > 0").select(F.col("row").alias("node"), "n", "prefix").join(small(copies), F.col("node") == F.col("row"), "left_anti")
-    kept = cut(_kept_prefixes(prefixes, percent), "kept")
+    kept = _kept_prefixes(prefixes, percent)
     spent(made, copies)
     postings = kept.select("node", "n", "k", F.explode("tokens").alias("t")).select("node", "n", "k", "t.token")
     buckets = cut(_buckets(postings), "buckets")
