@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -23,17 +25,24 @@ def shared_dir(spark: SparkSession) -> str:
     return folder
 
 
+@contextlib.contextmanager
+def unshuffled(spark: SparkSession) -> Iterator[None]:
+    """Queries made and run within lose their shuffle files as they end."""
+    kept = spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(_CLEANUP) if kept is None else spark.conf.set(_CLEANUP, kept)
+
+
 def written(df: DataFrame, label: str) -> DataFrame:
     """df written to the shared folder and read back. The files stay until that folder is cleaned, or spent(); what was shuffled
     to make them goes at once."""
     spark = df.sparkSession
     path = f"{shared_dir(spark).rstrip('/')}/corpusloom/{label}-{uuid.uuid4().hex}.parquet"
-    kept = spark.conf.get(_CLEANUP, None)
-    spark.conf.set(_CLEANUP, "true")
-    try:
+    with unshuffled(spark):
         df.write.parquet(path)
-    finally:
-        spark.conf.unset(_CLEANUP) if kept is None else spark.conf.set(_CLEANUP, kept)
     out = spark.read.schema(df.schema).parquet(path)
     out.cut_path = path
     return out

@@ -16,7 +16,7 @@ from corpusloom import cli
 from corpusloom.config import TranslateConfig
 from corpusloom.functions import text as T
 from corpusloom.functions.chunking import chunks_of
-from corpusloom.operators import boosting, eda, ml, qa, reports, translate
+from corpusloom.operators import boosting, eda, ml, qa, reports, translate, tree
 from corpusloom.plans import passes
 from corpusloom.queries import QUERIES, SQL
 from corpusloom.shipping import ship
@@ -403,6 +403,36 @@ def test_boosting(spark):
     assert none.models == {} and none.transform(df.limit(2)).where("prediction IS NULL").count() == 2
 
 
+def test_tree(spark, monkeypatch):
+    """Every split is the best by Gini of all of the node's rows, whatever the features' number; classes as a plain tree has them."""
+    rng = np.random.default_rng(3)
+    table = rng.integers(-1, 6, (400, 5)) * (rng.random((400, 5)) < 0.6) * 1.0
+    y = ((table[:, 1] > 2) * 1 + (table[:, 3] > 0) * 1).astype(int)
+
+    def gini(rows):
+        return sum(np.sum(y[rows] == c) ** 2 for c in range(3)) / max(len(rows), 1)
+
+    def plain(rows, depth):
+        best = max(((gini(rows[table[rows, f] <= t]) + gini(rows[table[rows, f] > t]) - gini(rows), -f, -t) for f in range(5) for t in np.unique(table[:, f])
+                    if min((table[rows, f] <= t).sum(), (table[rows, f] > t).sum()) >= 2), default=(0,)) if depth else (0,)
+        if best[0] <= 1e-7:
+            return dict.fromkeys(rows.tolist(), int(np.argmax(np.bincount(y[rows], minlength=3))))
+        f, t = -best[1], -best[2]
+        return plain(rows[table[rows, f] <= t], depth - 1) | plain(rows[table[rows, f] > t], depth - 1)
+
+    wide = [Vectors.sparse(60_000, {int(10_000 * f): float(v) for f, v in enumerate(r) if v}) for r in table]  # dense, these rows would be 190 MB
+    df = spark.createDataFrame([(k, float(c), v) for k, (c, v) in enumerate(zip(y.tolist(), wide, strict=True))], ["k", "y", "features"])
+    monkeypatch.setattr(tree, "HELD", 50)
+    for depth in (1, 2, 9):
+        got = {r["k"]: r["prediction"] for r in tree.DecisionTree("k", depth).fit(df).transform(df).collect()}
+        assert got == plain(np.arange(400), depth)
+    dense = spark.createDataFrame([(k, float(c), Vectors.dense(r)) for k, (c, r) in enumerate(zip(y.tolist(), table.tolist(), strict=True))], ["k", "y", "features"])
+    assert [r["prediction"] for r in tree.DecisionTree("k").fit(dense).transform(dense).orderBy("k").collect()] == y.tolist()
+    one = tree.DecisionTree("k").fit(df.where("y = 1")).transform(df)
+    assert one.columns == ["k", "y", "prediction"] and {r[0] for r in one.select("prediction").distinct().collect()} == {1.0}
+    assert [r["prediction"] for r in tree.DecisionTree("k").fit(df.limit(0)).transform(df.limit(2)).collect()] == [None, None]
+
+
 def test_all_classifiers_compared(monkeypatch, spark):
     assert asked_of_models(monkeypatch, spark, "classifier_comparison")[0] == sorted(ml.classifiers(1, "k"))
 
