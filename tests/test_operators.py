@@ -2,13 +2,17 @@
 
 import glob
 import hashlib
+import io
 import json
 import os
 
 import duckdb
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
+from pyspark.ml import Pipeline
+from pyspark.ml.feature import IDF, CountVectorizer, NGram, Normalizer, RegexTokenizer, SQLTransformer, VectorAssembler
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
@@ -16,7 +20,7 @@ from corpusloom import cli
 from corpusloom.config import TranslateConfig
 from corpusloom.functions import text as T
 from corpusloom.functions.chunking import chunks_of
-from corpusloom.operators import boosting, eda, ml, qa, reports, translate, tree
+from corpusloom.operators import boosting, eda, ml, qa, reports, terms, translate, tree
 from corpusloom.plans import passes
 from corpusloom.queries import QUERIES, SQL
 from corpusloom.shipping import ship
@@ -433,6 +437,63 @@ def test_tree(spark, monkeypatch):
     assert [r["prediction"] for r in tree.DecisionTree("k").fit(df.limit(0)).transform(df.limit(2)).collect()] == [None, None]
 
 
+def test_terms_as_the_library(spark):
+    """Terms, their IDF and vectors are those of the library's tokenizer, pairs, counts, IDF and normalizer."""
+    texts = ["Der Hund und der Hund, der Hund", "", "x y z", "one", "Ünder_1 straße 中文 ab ab ab", None, "der hund beißt!! ab ab", "İstanbul ΣΑΣ der\tund"] * 2
+    df = spark.createDataFrame([(k, t, float(k % 3)) for k, t in enumerate(texts)], "k long, text string, x double")
+    plain = [RegexTokenizer(inputCol="text", outputCol="w", pattern=r"[^\p{L}\p{N}_]+", minTokenLength=2), NGram(n=2, inputCol="w", outputCol="p"), SQLTransformer(statement="SELECT *, concat(w, p) AS t FROM __THIS__"),
+             CountVectorizer(inputCol="t", outputCol="tf"), IDF(inputCol="tf", outputCol="idf")]
+    model = Pipeline(stages=plain).fit(df.fillna(""))
+    names, weights = model.stages[3].vocabulary, model.stages[4].idf.toArray() + 1
+    for size in (1000, 5, 0):
+        known, idf = terms.vocabulary(df, "text", size)
+        counts = {t: sum([*ws, *map(" ".join, zip(ws, ws[1:], strict=False))].count(t) for r in model.stages[0].transform(df.fillna("")).collect() for ws in [r["w"]]) for t in names}
+        assert known == sorted(names, key=lambda t: (-counts[t], t))[:size]
+        np.testing.assert_allclose(idf, [weights[names.index(t)] for t in known])
+        got = terms.vectors(df, "text", ["x"], known, idf, ["k"], "test").orderBy("k").collect()
+        tf = {r["k"]: dict(zip((names[i] for i in r["tf"].indices), r["tf"].values, strict=True)) for r in model.transform(df.fillna("")).collect()}
+        for r in got:
+            want = np.array([tf[r["k"]].get(t, 0) for t in known]) * idf
+            np.testing.assert_allclose(r["features"].toArray(), [*want / (np.sqrt((want**2).sum()) or 1), r["k"] % 3])
+    with pytest.raises(Exception, match="x has nulls"):
+        terms.vectors(df.withColumn("x", F.lit(None).cast("double")), "text", ["x"], known, idf, ["k"], "test")
+    assert terms.vocabulary(df.limit(0), "text", 10)[0] == []
+
+
+def test_terms_in_parts(monkeypatch):
+    """Counts do not depend on how many words are taken at once and how many terms a task holds."""
+    docs = [["ab", "cd", "ab", "cd"], [], ["cd"], ["ab"] * 9, ["ef", "ab", "cd"]]
+
+    def counts():
+        out = {}
+        for b in terms.counted(iter([pa.record_batch([pa.array(docs, pa.list_(pa.string()))], names=["_w"])] * 3)):
+            for r in b.to_pylist():
+                n, df = out.get(r["term"], (0, 0))
+                out[r["term"]] = n + r["n"], df + r["df"]
+        return out
+
+    whole = counts()
+    assert whole["ab cd"] == (9, 6) and whole["ab"] == (36, 9) and whole["cd"] == (12, 9) and whole["ab ab"] == (24, 3)
+    for words, held in ((1, 1), (4, 3), (6, 100)):
+        monkeypatch.setattr(terms, "WORDS", words)
+        monkeypatch.setattr(terms, "HELD", held)
+        assert counts() == whole
+
+
+def test_copies_stand_for_rows(spark):
+    """Balanced rows are fitted once, with how many rows they stand for: the same trees as of repeated rows."""
+    rng = np.random.default_rng(5)
+    rows = [(k, float(k % 10 == 0) + float(k % 10 == 5), Vectors.sparse(4, [(j, float(v)) for j, v in enumerate(rng.integers(0, 4, 4) + (k % 5 == 0) * (rng.random(4) < 0.5)) if v])) for k in range(300)]
+    df = ml.balanced(spark.createDataFrame(rows, ["k", "y", "features"]), "y", "k").persist()
+    assert df.count() == 300 and df.groupBy("y").agg(F.sum("_copies").alias("n")).select("n").distinct().count() == 1
+    repeated = ml.oversampled(df.drop("_copies"), "y", "k").persist()
+    for one, all_ in ((tree.DecisionTree("k", 4, copies="_copies"), tree.DecisionTree("k", 4)), (boosting.Boosting("k", 5, 3, copies="_copies"), boosting.Boosting("k", 5, 3)), (boosting.Boosting("k", 5, 3, sample=100, copies="_copies"), boosting.Boosting("k", 5, 3, sample=100))):
+        a, b = (getattr(m, "trees", None) or {c: dict(np.load(io.BytesIO(x))) for c, x in m.models.items()} for m in (one.fit(df), all_.fit(repeated)))
+        for t, u in [(a, b)] if "feature" in a else [(a[c], b[c]) for c in (0.0, 1.0)]:
+            assert (t["feature"] == u["feature"]).all() and (t["bound"] == u["bound"]).all()
+            np.testing.assert_allclose(t["value"], u["value"])
+
+
 def test_all_classifiers_compared(monkeypatch, spark):
     assert asked_of_models(monkeypatch, spark, "classifier_comparison")[0] == sorted(ml.classifiers(1, "k"))
 
