@@ -5,6 +5,7 @@ import hashlib
 import io
 import json
 import os
+import threading
 
 import duckdb
 import numpy as np
@@ -20,7 +21,7 @@ from corpusloom import cli
 from corpusloom.config import TranslateConfig
 from corpusloom.functions import text as T
 from corpusloom.functions.chunking import chunks_of
-from corpusloom.operators import boosting, eda, ml, qa, reports, terms, translate, tree
+from corpusloom.operators import bins, boosting, eda, ml, qa, reports, terms, translate, tree
 from corpusloom.plans import passes
 from corpusloom.queries import QUERIES, SQL
 from corpusloom.shipping import ship
@@ -437,6 +438,65 @@ def test_tree(spark, monkeypatch):
     assert [r["prediction"] for r in tree.DecisionTree("k").fit(df.limit(0)).transform(df.limit(2)).collect()] == [None, None]
 
 
+def test_trees_of_all_rows(spark):
+    """Rows beyond the 10 000 whose keys have the smallest hashes are fitted too, and bounds of bins know their values."""
+    keys = [r["k"] for r in spark.range(10_800).withColumnRenamed("id", "k").orderBy(F.xxhash64("k"), "k").collect()]
+    rows = [(k, float(i % 2), Vectors.sparse(2, [(0, 1.0 + i % 2), (1, 1.0)] if i < 10_000 else [(1, 2.0 + i % 2)])) for i, k in enumerate(keys)]
+    df = spark.createDataFrame(rows, ["k", "y", "features"]).persist()
+    assert tree.DecisionTree("k", 3).fit(df).transform(df).where("y <> prediction").count() == 0
+    assert boosting.Boosting("k", 8, 3).fit(df).transform(df).where("y <> prediction").count() == 0
+
+
+def test_bounds_of_all_values(spark):
+    """Bounds made by feature in the workers are those of all values at once, repeated as often as copies says."""
+    rng = np.random.default_rng(11)
+    table = rng.normal(size=(500, 7)) * (rng.random((500, 7)) < [0.9, 0.5, 0.1, 0.01, 0, 1, 0.3]) * [1, 1, -1, 1, 1, 1, 0.1]
+    copies = rng.integers(1, 4, 500)
+    rows = [(int(c), Vectors.sparse(9, [(j, v) for j, v in enumerate(r) if v]) if k % 2 else Vectors.dense([*r, 0, 0])) for k, (c, r) in enumerate(zip(copies, table.tolist(), strict=True))]
+    df = spark.createDataFrame(rows, ["c", "features"]).repartition(5)
+    for named, times in (("c", copies), (None, np.ones(500, int))):
+        _, feature, value = bins.flat(sparse(np.repeat(table, times, axis=0)))
+        got, want = bins.bounded(df, named), bins.Bins.of(feature, value, 9)
+        assert all((getattr(got, k) == getattr(want, k)).all() for k in ("bounds", "starts", "zero")) and len(got.bounds) > 100
+    assert len(bins.bounded(df.limit(0)).bounds) == 0
+
+
+def test_boosting_shares():
+    """The same trees whatever the number of tasks that share the features, and in whatever order the rows are."""
+    rng = np.random.default_rng(13)
+    table = rng.integers(0, 40, (600, 11)) * (rng.random((600, 11)) < 0.4) / 7
+    y, copies = ((table[:, 3] > 1) ^ (table[:, 8] > 2) ^ (rng.random(600) < 0.05)) * 1.0, rng.integers(1, 3, 600)
+
+    def trees(shares, order):
+        row, feature, value = bins.flat(sparse(table[order]))
+        of = bins.Bins.of(feature, value, 11, copies[order][row])
+        number, said, gate, out = of.number(feature, value), [None] * shares, threading.Barrier(shares), [None] * shares
+
+        def task(place):
+            def met(mine):
+                said[place] = mine
+                gate.wait(60)
+                every = list(said)
+                gate.wait(60)
+                return every
+
+            use = feature % shares == place
+            data = boosting.Binned.share(of, place, shares, 600, row[use].astype(np.int32), number[use])
+            out[place] = boosting.grown(data, y[order], 60, 4, 0.3, copies[order], met, place)
+
+        each = [threading.Thread(target=task, args=(k,)) for k in range(shares)]
+        for t in each:
+            t.start()
+        for t in each:
+            t.join(120)
+        return out
+
+    whole = trees(1, np.arange(600))[0]
+    assert (whole["feature"][:5] >= 0).sum() > 30
+    for other in (*trees(4, np.arange(600)), *trees(3, rng.permutation(600)), *trees(13, np.arange(600))):
+        assert all((whole[k] == other[k]).all() for k in whole)
+
+
 def test_terms_as_the_library(spark):
     """Terms, their IDF and vectors are those of the library's tokenizer, pairs, counts, IDF and normalizer."""
     texts = ["Der Hund und der Hund, der Hund", "", "x y z", "one", "Ünder_1 straße 中文 ab ab ab", None, "der hund beißt!! ab ab", "İstanbul ΣΑΣ der\tund"] * 2
